@@ -27,11 +27,11 @@ _ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 def integer(text: Column, type_name: str = "int") -> Column:
     """Text as an integer type, fraction cut off, NULL if that is impossible.
 
-    Plain digits go through `try_cast` alone; the pattern runs only for the
-    texts `try_cast` refuses.
+    The pattern is asked first: `try_cast` raises and catches an exception for
+    every text it refuses, which costs more than the match.
     """
     digits = F.regexp_replace(text, _NUMBER, _SIGN_AND_DIGITS)
-    return F.coalesce(text.try_cast(type_name), digits.try_cast(type_name))
+    return F.when(text.rlike(_NUMBER), digits.try_cast(type_name))
 
 
 def is_negative(text: Column, *, exact: bool = False) -> Column:

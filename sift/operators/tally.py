@@ -60,14 +60,12 @@ class Tally:
 def tally(df: DataFrame, rules: Sequence[Rule]) -> Tally:
     positions = [f"c{at}" for at in range(len(df.columns))]
     reasons = tuple(dict.fromkeys(rule.reason for rule in rules))
-
-    def failure(rule: Rule) -> Column:
-        return rule.fails(F.col(positions[df.columns.index(rule.column)]))
-
+    failing = [
+        (rule.reason, rule.fails(F.col(positions[df.columns.index(rule.column)])))
+        for rule in rules
+    ]
     counters = {
-        f"r{at}": reduce(
-            add, (failure(rule).cast("int") for rule in rules if rule.reason == reason)
-        )
+        f"r{at}": reduce(add, (fails.cast("int") for given, fails in failing if given == reason))
         for at, reason in enumerate(reasons)
     }
     grouped = df.toDF(*positions).groupBy(*positions).agg(F.count(F.lit(1)).alias(COPIES))
@@ -76,7 +74,7 @@ def tally(df: DataFrame, rules: Sequence[Rule]) -> Tally:
         *(counter.alias(name) for name, counter in counters.items()),
         reduce(add, counters.values(), F.lit(0)).alias(FAILED),
     )
-    passes = reduce(and_, (~failure(rule) for rule in rules), F.lit(True))
+    passes = reduce(and_, (~fails for _, fails in failing), F.lit(True))
     return Tally(frame, tuple(df.columns), reasons, passes)
 
 

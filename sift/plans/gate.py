@@ -13,6 +13,7 @@ from sift.operators import audit, split
 from sift.operators.rules import configured_rules
 from sift.operators.shape import cast_columns, project_columns
 from sift.operators.tally import Tally, tally
+from sift.plans.sizing import sized_shuffle
 from sift.sources import tables
 from sift.sources.paths import GatePaths, table_name
 from sift.sources.rulefile import GateConfig, load_config
@@ -101,7 +102,8 @@ def run_gate(
 
     staging = scratch_path(spark, f"tally-{table}", beside=paths.audit)
     try:
-        stored = gate.stage(staging)
+        with sized_shuffle(spark, source):
+            stored = gate.stage(staging)
         metrics = stored.counts().first().asDict()
         loaded = datetime.now(timezone.utc)
 

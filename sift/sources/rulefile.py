@@ -133,10 +133,10 @@ def _casts(value: Any) -> tuple[dict[str, str], list[str]]:
 
 def load_config(spark: SparkSession, path: str, *, strict: bool = True) -> GateConfig:
     """Read a rule file; of a top-level array the first document counts."""
-    first = spark.read.option("multiLine", True).json(path).first()
+    documents = spark.read.option("multiLine", True).json(path)
+    if "_corrupt_record" in documents.columns:
+        raise ConfigError(f"{path} is not valid JSON")
+    first = documents.first()
     if first is None:
         raise ConfigError(f"no rule document in {path}")
-    raw = first.asDict(recursive=True)
-    if "_corrupt_record" in raw:
-        raise ConfigError(f"{path} is not valid JSON")
-    return GateConfig.from_mapping(raw, strict=strict)
+    return GateConfig.from_mapping(first.asDict(recursive=True), strict=strict)

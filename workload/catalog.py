@@ -200,11 +200,8 @@ def text_to_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "l_suppkey",
         "l_linenumber",
-        *(
-            coerce.integer(text(price), kind).alias(f"{name}_{kind}")
-            for name, text in _PRICE_TEXTS.items()
-            for kind in ("int", "smallint")
-        ),
+        *(coerce.integer(text(price)).alias(name) for name, text in _PRICE_TEXTS.items()),
+        coerce.integer(_PRICE_TEXTS["cut"](price), "smallint").alias("cut_smallint"),
     )
 
 
@@ -400,12 +397,9 @@ ORACLES: dict[str, str] = {
         SELECT {_COUNTS}, (SELECT count(*) FROM u) AS uniquecount,
           (SELECT CAST(sum(extra) AS bigint) FROM f) AS overlap, true AS reconciles""",
     "text_to_integer": f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-          CAST(-{_WHOLE} AS integer) AS cut_int,
-          CASE WHEN {_WHOLE} <= 32768 THEN CAST(-{_WHOLE} AS smallint) END AS cut_smallint,
-          CAST({_WHOLE} AS integer) AS plain_int,
-          CASE WHEN {_WHOLE} <= 32767 THEN CAST({_WHOLE} AS smallint) END AS plain_smallint,
-          CAST(NULL AS integer) AS exponent_int, CAST(NULL AS smallint) AS exponent_smallint,
-          CAST(NULL AS integer) AS words_int, CAST(NULL AS smallint) AS words_smallint
+          CAST(-{_WHOLE} AS integer) AS cut, CAST({_WHOLE} AS integer) AS plain,
+          CAST(NULL AS integer) AS exponent, CAST(NULL AS integer) AS words,
+          CASE WHEN {_WHOLE} <= 32768 THEN CAST(-{_WHOLE} AS smallint) END AS cut_smallint
         FROM lineitem""",
     "sink_parquet_roundtrip": _PROJECTED,
     "sink_reject_csv_roundtrip": f"{_LEDGER} SELECT * FROM ledger",
