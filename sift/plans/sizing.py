@@ -20,7 +20,7 @@ UNKNOWN_BYTES = 1024**6
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate (for files, their listed sizes), or None."""
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except AttributeError:  # a Spark Connect session has no JVM handle
         return None
     return size if size < UNKNOWN_BYTES else None

@@ -1,0 +1,278 @@
+"""Accepted rows, ledger and counts as multisets."""
+
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sift import GateConfig, plan_gate
+from sift.operators import audit, expand, rules, split
+from sift.operators.tally import tally
+from sift.plans.gate import FEW, LEDGER_ROWS_PER_TASK, ledger_tasks
+from workload.dirty_orders import dirty_orders, orders_config
+from workload.set_form import set_form
+
+DUP, NULL, NEG, DATE = rules.DUPLICATE, rules.NULL, rules.NEGATIVE, rules.BAD_DATE
+
+CONFIG = GateConfig(
+    "",
+    "",
+    "",
+    "",
+    required_cols=("id",),
+    null_check=("id", "day"),
+    no_negative_value=("qty", "id"),
+    dateformatchecks=("day",),
+)
+SCHEMA = "id string, qty string, day string"
+
+
+def gate_of(spark, rows, config=CONFIG):
+    return plan_gate(spark.createDataFrame(rows, SCHEMA), config)
+
+
+def multiset(df):
+    return Counter(tuple(row) for row in df.collect())
+
+
+def outputs(gate):
+    return multiset(split.accepted_rows(gate.tally)), multiset(gate.rejects())
+
+
+GOOD = ("1", "2", "2024-01-01")
+
+
+@pytest.mark.parametrize(
+    "rows, reasons, accepted",
+    [
+        ([GOOD], [], 1),
+        ([GOOD] * 3, [DUP, DUP], 1),
+        ([(None, "1", "2024-01-01")] * 3, [DUP, DUP, NULL], 0),
+        ([("1", "1", None)], [NULL, DATE], 0),
+        ([(None, "1", None)], [NULL, NULL, DATE], 0),
+        ([("-1", "-1", "x")], [NEG, NEG, DATE], 0),
+        ([("1", None, "2024-01-01"), ("1", "1", "2024-01-01")], [], 2),
+        ([], [], 0),
+    ],
+)
+def test_multiset_cases(spark, ansi, rows, reasons, accepted):
+    gate = gate_of(spark, rows)
+    got_accepted, ledger = outputs(gate)
+    assert sum(got_accepted.values()) == accepted
+    assert sorted(r[-1] for r in ledger.elements()) == sorted(reasons)
+    counted = gate.counts().first()
+    assert counted.sourcecount == len(rows)
+    assert counted.rejectcount == len(reasons)
+    assert counted.writtencount == accepted
+    by_reason = {r.reject_reason: r.rows for r in audit.reason_counts(gate.tally).collect()}
+    assert by_reason == Counter(reasons)
+
+
+VALUES = st.tuples(
+    st.sampled_from([None, "1", "2", "-3"]),
+    st.sampled_from([None, "5", "-0.5", "-1.5", "x"]),
+    st.sampled_from([None, "2024-01-01", "31/12/1997"]),
+)
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(VALUES, max_size=60))
+def test_equals_set_form(spark, rows):
+    source = spark.createDataFrame(rows, SCHEMA)
+    gate = plan_gate(source, CONFIG)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        want_accepted, want_ledger = map(
+            multiset,
+            set_form(
+                source, CONFIG.null_check, CONFIG.no_negative_value, CONFIG.dateformatchecks
+            ),
+        )
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert outputs(gate) == (want_accepted, want_ledger)
+    counted = gate.counts().first()
+    assert counted.sourcecount == len(rows)
+    assert counted.uniquecount == len(set(rows))
+    assert counted.rejectcount == sum(want_ledger.values())
+    assert counted.writtencount == sum(want_accepted.values())
+    assert counted.sourcecount == counted.rejectcount + counted.writtencount - counted.overlap
+
+
+def test_branches_add_up_to_the_ledger(spark):
+    rng = random.Random(5)
+    rows = [
+        (rng.choice(["1", None]), rng.choice(["1", "-2"]), rng.choice(["2024", "x", None]))
+        for _ in range(40)
+    ]
+    gate = gate_of(spark, rows)
+    parts = multiset(split.duplicate_rows(gate.tally))
+    for reason in (NULL, NEG, DATE):
+        parts += multiset(split.rule_rejects(gate.tally, reason))
+    assert parts == multiset(gate.rejects())
+    assert multiset(split.unique_rows(gate.tally)) == Counter(set(rows))
+
+
+@pytest.mark.parametrize("tasks", [None, 0, 5])
+@pytest.mark.parametrize("chunk", [1, 7, expand.CHUNK])
+def test_hot_row(spark, monkeypatch, tasks, chunk):
+    """A row with 25,003 copies, for chunks smaller and larger than that."""
+    monkeypatch.setattr(expand, "CHUNK", chunk)
+    source = spark.range(25_003).select(F.lit("1").alias("id"), F.lit(None).cast("string").alias("x"))
+    t = tally(source, [rules.null_rule("x")])
+    ledger = split.reject_ledger(t, tasks=tasks).groupBy("reject_reason").count().collect()
+    assert {r.reject_reason: r["count"] for r in ledger} == {DUP: 25_002, NULL: 1}
+    ranks = split.rank_duplicates(t, tasks=tasks).agg(
+        F.count("*"), F.min("rn"), F.max("rn"), F.count_distinct("rn")
+    )
+    assert tuple(ranks.first()) == (25_003, 1, 25_003, 25_003)
+
+
+def test_hot_row_is_dealt_out_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(expand, "CHUNK", 1_000)
+    source = spark.range(1_000_000).select(F.lit("1").alias("id"))
+    ledger = split.reject_ledger(tally(source, []), tasks=16)
+    share = ledger.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in share) == 999_999
+    assert len(share) == 16
+    assert max(r["count"] for r in share) < 999_999 / 16 * 2
+
+
+def test_copies_collapse_before_the_shuffle(spark):
+    """A hot row leaves each map task as one record."""
+    source = spark.range(0, 400_000, numPartitions=8).select(F.lit("1").alias("id"))
+    frame = tally(source, []).frame
+    plan = plan_text(frame)
+    before_exchange = plan[plan.index("Exchange") :]
+    assert "partial_count(1)" in before_exchange
+
+
+def test_rank_column_clash(spark):
+    t = tally(spark.createDataFrame([("1",)], "rn string"), [])
+    with pytest.raises(ValueError, match="rn"):
+        split.rank_duplicates(t)
+    assert split.rank_duplicates(t, rank="no").columns == ["rn", "no"]
+
+
+@pytest.mark.parametrize(
+    "rejectcount, largest, tasks",
+    [
+        (10, 10, 0),
+        (LEDGER_ROWS_PER_TASK * 9, FEW, 0),
+        (LEDGER_ROWS_PER_TASK * 9, FEW + 1, 9),
+        (LEDGER_ROWS_PER_TASK + 1, LEDGER_ROWS_PER_TASK + 1, 2),
+    ],
+)
+def test_ledger_tasks(rejectcount, largest, tasks):
+    assert ledger_tasks({"rejectcount": rejectcount, "largest": largest}) == tasks
+
+
+def test_typed_rows(spark):
+    """Typed columns: numbers compare as they are, NaN and NULL are not negative."""
+    source = spark.sql(
+        "SELECT * FROM VALUES (1, -0.5D, DATE'2024-01-01'), (1, -0.5D, DATE'2024-01-01'), "
+        "(2, double('NaN'), DATE'2024-01-01'), (3, NULL, NULL), (4, 0D, DATE'2024-01-01') "
+        "AS t(id, v, day)"
+    )
+    config = GateConfig(
+        "", "", "", "", required_cols=("id",), no_negative_value=("v",), dateformatchecks=("day",)
+    )
+    gate = plan_gate(source, config)
+    assert sorted(r.id for r in gate.accepted().collect()) == [2, 4]
+    assert sorted((r.id, r.reject_reason) for r in gate.rejects().collect()) == [
+        (1, DUP),
+        (1, NEG),
+        (3, DATE),
+    ]
+
+
+def test_nested_columns_take_part_in_the_key(spark):
+    source = spark.sql(
+        "SELECT 1 AS id, map('a', 1) AS m, array(struct(1 AS x)) AS a FROM range(3) "
+        "UNION ALL SELECT 1, map('a', 2), array(struct(1 AS x))"
+    )
+    t = tally(source, [rules.null_rule("m")])
+    assert split.accepted_rows(t).count() == 2
+    assert [r.reject_reason for r in split.reject_ledger(t).collect()] == [DUP, DUP]
+
+
+GOLDEN = [  # sf, semantics, source, duplicate, null, negative, date, rejects, accepted, overlap
+    ("0.001", "legacy", 1599, 99, 134, 113, 173, 519, 1153, 73),
+    ("0.001", "exact", 1599, 99, 134, 150, 173, 556, 1122, 79),
+    ("0.01", "legacy", 15980, 980, 1325, 1125, 1722, 5152, 11563, 735),
+    ("0.01", "exact", 15980, 980, 1325, 1491, 1722, 5518, 11260, 798),
+    ("0.1", "legacy", 159783, 9783, 13236, 11257, 17221, 51497, 115590, 7304),
+    ("0.1", "exact", 159783, 9783, 13236, 14916, 17221, 55156, 112543, 7916),
+]
+
+
+@pytest.mark.parametrize("golden", GOLDEN, ids=lambda g: f"{g[0]}-{g[1]}")
+def test_golden_counts(spark, golden):
+    sf, semantics, source, *by_reason, rejects, accepted, overlap = golden
+    orders = dirty_orders(spark, f"/root/testdata/sf{sf}")
+    gate = plan_gate(orders, orders_config(), semantics=semantics)
+    counted = gate.counts().first()
+    assert (counted.sourcecount, counted.rejectcount) == (source, rejects)
+    assert (counted.writtencount, counted.overlap) == (accepted, overlap)
+    reasons = {r.reject_reason: r.rows for r in audit.reason_counts(gate.tally).collect()}
+    assert [reasons[r] for r in (DUP, NULL, NEG, DATE)] == by_reason
+
+
+# --- plans ---------------------------------------------------------------
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def orders(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    dirty_orders(spark, "/root/testdata/sf0.001").write.csv(path, header=True)
+    return plan_gate(spark.read.csv(path, header=True), orders_config())
+
+
+def test_accepted_plan(orders):
+    plan = plan_text(orders.accepted())
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 1
+    assert "IsNotNull(customer_id)" in plan[plan.index("PushedFilters") :]
+    for costly in ("Window", "Union", "Join", "Generate", "count(1)"):
+        assert costly not in plan
+
+
+def test_ledger_plan(orders):
+    plan = plan_text(orders.rejects(tasks=0))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 1
+    dealt = plan_text(orders.rejects())
+    assert dealt.count("FileScan") == 1
+    assert dealt.count("Exchange") == 2
+    assert "REPARTITION_BY_NUM" in dealt
+    for costly in ("Window", "Union", "Join"):
+        assert costly not in dealt
+
+
+def test_counts_plan(orders):
+    plan = plan_text(orders.counts())
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange") == 2  # the second one carries one row per task
+
+
+def test_staged_plans_need_no_shuffle(orders, tmp_path):
+    staged = orders.stage(str(tmp_path / "staged"))
+    accepted = plan_text(staged.accepted())
+    assert "Exchange" not in accepted
+    assert "EqualTo(failed,0)" in accepted
+    schema = accepted[accepted.index("ReadSchema") :]
+    assert "c2" not in schema and "copies" not in schema  # not a required column
+    assert "Exchange" not in plan_text(staged.rejects(tasks=0))
+    counts = plan_text(staged.counts())
+    assert "ReadSchema: struct<copies:bigint,failed:int>" in counts
