@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 # Copies made from one record in one go; a row with more copies travels as
 # several records, which the exchange deals out to different tasks.
-CHUNK = 200_000
+CHUNK = 100_000
 
 
 def repeat_rows(

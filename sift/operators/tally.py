@@ -48,11 +48,11 @@ class Tally:
         """Write the tally once and go on from the stored table.
 
         Parquet rather than a cache: it survives lost executors, and each
-        output reads only the columns and row groups it needs.
+        output reads only the columns it needs.
         """
         schema = self.frame.schema
         spark = self.frame.sparkSession
-        self.frame.write.mode("overwrite").parquet(path)
+        self.frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
         stored = spark.read.schema(schema).parquet(path)
         return replace(self, frame=stored, passes=F.col(FAILED) == 0)
 

@@ -13,16 +13,19 @@ from sift.operators import audit, split
 from sift.operators.rules import configured_rules
 from sift.operators.shape import cast_columns, project_columns
 from sift.operators.tally import Tally, tally
-from sift.plans.sizing import sized_shuffle
+from sift.plans.sizing import estimated_bytes, scan_splits, sized_shuffle
 from sift.sources import tables
 from sift.sources.paths import GatePaths, table_name
 from sift.sources.rulefile import GateConfig, load_config
 from sift.sources.scratch import drop_path, scratch_path
 
 # Ledger rows one task should write at most.
-LEDGER_ROWS_PER_TASK = 5_000_000
+LEDGER_ROWS_PER_TASK = 1_000_000
 # Ledger rows one stored record may stand for before its task could be a hot one.
 FEW = 16
+# How many times too many ledger files are tolerated before a small ledger is
+# gathered from the tasks that read the tally.
+SCATTERED = 100
 
 
 @dataclass(frozen=True)
@@ -108,7 +111,8 @@ def run_gate(
         loaded = datetime.now(timezone.utc)
 
         accepted = stored.accepted()
-        rejects = stored.rejects(tasks=ledger_tasks(metrics))
+        splits = scan_splits(estimated_bytes(stored.tally.frame))
+        rejects = stored.rejects(tasks=ledger_tasks(metrics, splits))
         record = audit.fixed_audit_row(spark, {**metrics, "loadtimestamp": loaded}, table)
         tables.write_parquet(accepted, paths.target)
         tables.write_csv(rejects, paths.pending, faithful=faithful_rejects)
@@ -129,10 +133,13 @@ def run_gate(
     )
 
 
-def ledger_tasks(metrics: dict[str, int]) -> int:
-    """Tasks to deal the ledger out to. 0 (leave it where the tally is) while
-    the ledger is small or no record swells much; otherwise a few hot records
-    could make one task write most of it."""
-    if metrics["rejectcount"] <= LEDGER_ROWS_PER_TASK or metrics["largest"] <= FEW:
-        return 0
-    return ceil(metrics["rejectcount"] / LEDGER_ROWS_PER_TASK)
+def ledger_tasks(metrics: dict[str, int], splits: int) -> int:
+    """Tasks to deal the ledger out to, or 0 to write it where the tally lies.
+
+    The exchange this takes carries each rejected row once, so it pays where a
+    few hot records could make one task write most of the ledger, and where a
+    small ledger would end up in very many small files.
+    """
+    wanted = ceil(metrics["rejectcount"] / LEDGER_ROWS_PER_TASK)
+    hot = wanted > 1 and metrics["largest"] > FEW
+    return wanted if hot or splits > SCATTERED * wanted else 0

@@ -13,6 +13,8 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 # Source bytes one reduce task should group, so that it need not spill.
 PARTITION_BYTES = 512 * 1024**2
+# What one scan task reads, by Spark's default.
+SPLIT_BYTES = 128 * 1024**2
 # Spark's estimate for a source of unknown size is far above any real table.
 UNKNOWN_BYTES = 1024**6
 
@@ -31,6 +33,11 @@ def wanted_partitions(size: int | None, configured: int) -> int:
     return max(configured, ceil((size or 0) / PARTITION_BYTES))
 
 
+def scan_splits(size: int | None) -> int:
+    """About how many tasks a scan of that size has."""
+    return ceil((size or 0) / SPLIT_BYTES)
+
+
 @contextmanager
 def sized_shuffle(spark: SparkSession, df: DataFrame) -> Iterator[None]:
     """Raise the session's shuffle partitions to fit `df` while a job runs.

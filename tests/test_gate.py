@@ -106,7 +106,7 @@ def test_staging_is_removed(spark, job, monkeypatch):
 
 def test_dealt_out_ledger_is_the_same(spark, job, monkeypatch):
     plain = multiset(run_gate(spark, job, DATE).rejects)
-    monkeypatch.setattr(gate_module, "ledger_tasks", lambda metrics: 7)
+    monkeypatch.setattr(gate_module, "ledger_tasks", lambda metrics, splits: 7)
     assert multiset(run_gate(spark, job, DATE).rejects) == plain
 
 

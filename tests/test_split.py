@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sift import GateConfig, plan_gate
 from sift.operators import audit, expand, rules, split
 from sift.operators.tally import tally
-from sift.plans.gate import FEW, LEDGER_ROWS_PER_TASK, ledger_tasks
+from sift.plans.gate import FEW, LEDGER_ROWS_PER_TASK, SCATTERED, ledger_tasks
 from workload.dirty_orders import dirty_orders, orders_config
 from workload.set_form import set_form
 
@@ -161,16 +161,20 @@ def test_rank_column_clash(spark):
 
 
 @pytest.mark.parametrize(
-    "rejectcount, largest, tasks",
+    "rejectcount, largest, splits, tasks",
     [
-        (10, 10, 0),
-        (LEDGER_ROWS_PER_TASK * 9, FEW, 0),
-        (LEDGER_ROWS_PER_TASK * 9, FEW + 1, 9),
-        (LEDGER_ROWS_PER_TASK + 1, LEDGER_ROWS_PER_TASK + 1, 2),
+        (0, 0, 10, 0),
+        (10, 10, 8, 0),
+        (10, 10, SCATTERED + 1, 1),  # a small ledger over very many tasks
+        (LEDGER_ROWS_PER_TASK * 9, FEW, 8, 0),
+        (LEDGER_ROWS_PER_TASK * 9, FEW, SCATTERED * 9 + 1, 9),
+        (LEDGER_ROWS_PER_TASK * 9, FEW + 1, 8, 9),  # hot records
+        (LEDGER_ROWS_PER_TASK + 1, LEDGER_ROWS_PER_TASK + 1, 8, 2),
     ],
 )
-def test_ledger_tasks(rejectcount, largest, tasks):
-    assert ledger_tasks({"rejectcount": rejectcount, "largest": largest}) == tasks
+def test_ledger_tasks(rejectcount, largest, splits, tasks):
+    metrics = {"rejectcount": rejectcount, "largest": largest}
+    assert ledger_tasks(metrics, splits) == tasks
 
 
 def test_typed_rows(spark):
