@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
 DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -21,17 +21,28 @@ DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _NUMBER = r"^[\x00-\x20\x7f]*([+-]?)(?=[0-9.])([0-9]*)(?:\.[0-9]*)?[\x00-\x20\x7f]*$"
 _SIGN_AND_DIGITS = "$10$2"  # group 1, a zero for texts like '.5', group 2
 
+# The texts Spark reads as a boolean, in any case.
+_BOOLEAN = r"^[\x00-\x20\x7f]*(?i:t|true|y|yes|1|f|false|n|no|0)[\x00-\x20\x7f]*$"
+
 _ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
 def integer(text: Column, type_name: str = "int") -> Column:
     """Text as an integer type, fraction cut off, NULL if that is impossible.
 
-    The pattern is asked first: `try_cast` raises and catches an exception for
-    every text it refuses, which costs more than the match.
+    `try_cast` raises and catches an exception for every text it refuses,
+    which costs far more than asking a pattern and a range first. Texts of a
+    few plain digits, the usual case, take one short pattern.
     """
+    bits = INTEGER_BITS[type(T.DataType.fromDDL(type_name))]
+    limit = 2 ** (bits - 1)
+    always_fits = len(str(limit)) - 1
     digits = F.regexp_replace(text, _NUMBER, _SIGN_AND_DIGITS)
-    return F.when(text.rlike(_NUMBER), digits.try_cast(type_name))
+    number = F.when(text.rlike(_NUMBER), digits.try_cast("bigint"))
+    if bits < 64:
+        number = F.when(number.between(-limit, limit - 1), number.cast(type_name))
+    plain = text.rlike(f"^[+-]?[0-9]{{1,{always_fits}}}$")
+    return F.when(plain, text.try_cast(type_name)).otherwise(number)
 
 
 def is_negative(text: Column, *, exact: bool = False) -> Column:
@@ -62,6 +73,9 @@ def is_moment(text: Column, *, exact: bool = False) -> Column:
 def lenient_cast(value: Column, source: T.DataType, type_name: str) -> Column:
     """Cast to a declared type; what cannot be cast becomes NULL."""
     target = T.DataType.fromDDL(type_name)
-    if isinstance(source, TEXT_TYPES) and isinstance(target, INTEGER_TYPES):
-        return integer(value, type_name)
+    if isinstance(source, TEXT_TYPES):
+        if type(target) in INTEGER_BITS:
+            return integer(value, type_name)
+        if isinstance(target, T.BooleanType):
+            return F.when(value.rlike(_BOOLEAN), value.try_cast(type_name))
     return value.try_cast(type_name)

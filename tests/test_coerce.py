@@ -106,6 +106,8 @@ def test_date_rule_does_not_depend_on_the_timestamp_type(spark):
         ("-128.9", "tinyint", "-128"),
         ("40000", "smallint", None),
         ("yes", "boolean", "true"),
+        (" NO\t", "boolean", "false"),
+        ("yess", "boolean", None),
         ("1.5", "string", "1.5"),
         (None, "int", None),
     ],
@@ -123,7 +125,7 @@ def random_texts(seed, n=3000):
     parts = [
         *"0123456789", *"0123456789", "-", "+", ".", " ", "e", "E", ":", "T", "Z", "/", "a",
         "\t", "\n", "\x00", "\x1f", "\x7f", "\x85", "\xa0", "٣", "00", "99999", "2024", "-08",
-        "2147483648", "9223372036854775807", "inf", "NaN", "true", "f", "d",
+        "2147483648", "9223372036854775807", "inf", "NaN", "true", "tRUE", "f", "no", "y", "d",
     ]
     return ["".join(rng.choices(parts, k=rng.randint(0, 7))) for _ in range(n)]
 
