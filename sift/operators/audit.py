@@ -47,14 +47,14 @@ def reason_counts(t: Tally) -> DataFrame:
     return totals.select(F.inline(F.array(*pairs))).filter(F.col("rows") > 0)
 
 
-def audit_row(counted: DataFrame, table: str, loaded: Column | None = None) -> DataFrame:
+def audit_row(counted: DataFrame, table: str) -> DataFrame:
     """The audit record: table, source, reject and written counts, load time."""
     return counted.select(
         F.lit(table).alias("tablename"),
         "sourcecount",
         "rejectcount",
         "writtencount",
-        (F.current_timestamp() if loaded is None else loaded).alias("loadtimestamp"),
+        F.current_timestamp().alias("loadtimestamp"),
     )
 
 

@@ -20,11 +20,15 @@ UNKNOWN_BYTES = 1024**6
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate (for files, their listed sizes), or None."""
+    """Bytes of what `df` reads, by Catalyst's statistics of its scans (for
+    files, their listed sizes), or None if one is unknown. The scans are added
+    up, as the estimate for a join of them may be their product."""
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:  # a Spark Connect session has no JVM handle
         return None
+    leaves = plan.collectLeaves()
+    size = sum(int(leaves.apply(at).stats().sizeInBytes()) for at in range(leaves.size()))
     return size if size < UNKNOWN_BYTES else None
 
 

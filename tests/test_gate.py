@@ -239,6 +239,13 @@ def test_shuffle_is_raised_only_for_the_job(spark, job, monkeypatch):
     assert spark.conf.get(setting) == before
 
 
+def test_size_of_a_join_is_not_a_product(spark):
+    size = {name: Path(f"{SF_DIR}/{name}.parquet").stat().st_size for name in ("orders", "customer")}
+    orders, customer = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in size)
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    assert 0 < sizing.estimated_bytes(joined) <= sum(size.values())
+
+
 def test_unknown_size_changes_nothing(spark):
     unknown = spark.sparkContext.parallelize([(1,)]).toDF(["a"])
     assert sizing.estimated_bytes(unknown) is None

@@ -2,6 +2,9 @@
 
 The SQL is written from the definitions (window, union of branches, set
 difference), the Spark side from the tally, so each checks the other.
+
+Queries about files write them to fresh paths in the shared scratch folder and
+leave them there, as the returned DataFrame reads them later.
 """
 
 from __future__ import annotations
