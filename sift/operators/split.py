@@ -48,7 +48,7 @@ def reject_ledger(t: Tally, *, tasks: int | None = None) -> DataFrame:
     for text in t.reasons:
         bound = bound + t.count_of(text)
         reason = reason.when(F.col(_ORDINAL) <= bound, text)
-    rows = repeat_rows(t.frame, ledger_rows_per_row(), _ORDINAL, tasks=tasks)
+    rows = repeat_rows(t.ledger_frame(), ledger_rows_per_row(), _ORDINAL, tasks=tasks)
     return rows.select(*t.source_columns(), reason.alias(REASON_COLUMN))
 
 
@@ -63,7 +63,7 @@ def rule_rejects(t: Tally, reason: str) -> DataFrame:
 
 
 def _tagged(t: Tally, times: Column, reason: str, tasks: int | None) -> DataFrame:
-    rows = repeat_rows(t.frame, times, _ORDINAL, tasks=tasks)
+    rows = repeat_rows(t.ledger_frame(), times, _ORDINAL, tasks=tasks)
     return rows.select(*t.source_columns(), F.lit(reason).alias(REASON_COLUMN))
 
 

@@ -21,6 +21,7 @@ from sift.operators.rules import Rule
 
 COPIES = "copies"
 FAILED = "failed"
+MARKED = "marked"
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,7 @@ class Tally:
     columns: tuple[str, ...]
     reasons: tuple[str, ...]
     passes: Column
+    marked: Column | None = None  # which stored rows have a part in the ledger
 
     def source_columns(self) -> list[Column]:
         """The row itself, under its own names."""
@@ -48,13 +50,22 @@ class Tally:
         """Write the tally once and go on from the stored table.
 
         Parquet rather than a cache: it survives lost executors, and each
-        output reads only the columns it needs.
+        output reads only the columns it needs. Rows with copies or failures
+        lie in a folder of their own, so the ledger reads nothing else.
         """
-        schema = self.frame.schema
         spark = self.frame.sparkSession
-        self.frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
-        stored = spark.read.schema(schema).parquet(path)
-        return replace(self, frame=stored, passes=F.col(FAILED) == 0)
+        marked = (F.col(COPIES) > 1) | (F.col(FAILED) > 0)
+        frame = self.frame.withColumn(MARKED, marked.cast("int"))
+        writer = frame.write.mode("overwrite").option("compression", "zstd")
+        writer.partitionBy(MARKED).parquet(path)
+        stored = spark.read.schema(frame.schema).parquet(path)
+        return replace(
+            self, frame=stored, passes=F.col(FAILED) == 0, marked=F.col(MARKED) == 1
+        )
+
+    def ledger_frame(self) -> DataFrame:
+        """The rows the ledger is made from, and maybe others without a part."""
+        return self.frame if self.marked is None else self.frame.filter(self.marked)
 
 
 def tally(df: DataFrame, rules: Sequence[Rule]) -> Tally:

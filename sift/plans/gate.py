@@ -13,7 +13,7 @@ from sift.operators import audit, split
 from sift.operators.rules import configured_rules
 from sift.operators.shape import cast_columns, project_columns
 from sift.operators.tally import Tally, tally
-from sift.plans.sizing import estimated_bytes, scan_splits, sized_shuffle
+from sift.plans.sizing import estimated_bytes, scan_splits, staging_settings
 from sift.sources import tables
 from sift.sources.paths import GatePaths, table_name
 from sift.sources.rulefile import GateConfig, load_config
@@ -105,13 +105,13 @@ def run_gate(
 
     staging = scratch_path(spark, f"tally-{table}", beside=paths.audit)
     try:
-        with sized_shuffle(spark, source):
+        with staging_settings(spark, source):
             stored = gate.stage(staging)
         metrics = stored.counts().first().asDict()
         loaded = datetime.now(timezone.utc)
 
         accepted = stored.accepted()
-        splits = scan_splits(estimated_bytes(stored.tally.frame))
+        splits = scan_splits(estimated_bytes(stored.tally.ledger_frame()))
         rejects = stored.rejects(tasks=ledger_tasks(metrics, splits))
         record = audit.fixed_audit_row(spark, {**metrics, "loadtimestamp": loaded}, table)
         tables.write_parquet(accepted, paths.target)

@@ -223,20 +223,22 @@ def test_partitions_grow_with_the_source():
     assert sizing.wanted_partitions(100 * 1024**4, 200) == 204_800
 
 
-def test_shuffle_is_raised_only_for_the_job(spark, job, monkeypatch):
+def test_settings_hold_only_for_the_job(spark, monkeypatch):
     source = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     size = Path(f"{SF_DIR}/lineitem.parquet").stat().st_size
     assert sizing.estimated_bytes(source) == size
-    setting = sizing.SHUFFLE_PARTITIONS
-    before = spark.conf.get(setting)
-    with sizing.sized_shuffle(spark, source):
-        assert spark.conf.get(setting) == before
+    settings = (sizing.SHUFFLE_PARTITIONS, sizing.OPEN_WRITERS)
+    before = [spark.conf.get(key) for key in settings]
+    with sizing.staging_settings(spark, source):
+        assert spark.conf.get(settings[0]) == before[0]
+        assert int(spark.conf.get(settings[1])) >= 2
+    assert [spark.conf.get(key) for key in settings] == before
     monkeypatch.setattr(sizing, "PARTITION_BYTES", size // 50)
     with pytest.raises(KeyError):
-        with sizing.sized_shuffle(spark, source):
-            assert int(spark.conf.get(setting)) > 50
+        with sizing.staging_settings(spark, source):
+            assert int(spark.conf.get(settings[0])) > 50
             raise KeyError
-    assert spark.conf.get(setting) == before
+    assert [spark.conf.get(key) for key in settings] == before
 
 
 def test_size_of_a_join_is_not_a_product(spark):

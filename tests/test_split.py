@@ -12,6 +12,7 @@ from sift import GateConfig, plan_gate
 from sift.operators import audit, expand, rules, split
 from sift.operators.tally import tally
 from sift.plans.gate import FEW, LEDGER_ROWS_PER_TASK, SCATTERED, ledger_tasks
+from sift.plans.sizing import staging_settings
 from workload.dirty_orders import dirty_orders, orders_config
 from workload.set_form import set_form
 
@@ -277,6 +278,18 @@ def test_staged_plans_need_no_shuffle(orders, tmp_path):
     assert "EqualTo(failed,0)" in accepted
     schema = accepted[accepted.index("ReadSchema") :]
     assert "c2" not in schema and "copies" not in schema  # not a required column
-    assert "Exchange" not in plan_text(staged.rejects(tasks=0))
+    ledger = plan_text(staged.rejects(tasks=0))
+    assert "Exchange" not in ledger
+    partition_filters = ledger[ledger.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert "marked" in partition_filters
+    assert multiset(staged.rejects()) == multiset(orders.rejects())
+    assert multiset(staged.accepted()) == multiset(orders.accepted())
     counts = plan_text(staged.counts())
     assert "ReadSchema: struct<copies:bigint,failed:int>" in counts
+
+
+def test_staged_rows_lie_in_two_folders(spark, orders, tmp_path):
+    with staging_settings(spark, orders.tally.frame):
+        orders.stage(str(tmp_path / "staged"))
+        files = {p.parent.name for p in (tmp_path / "staged").rglob("*.parquet")}
+        assert files == {"marked=0", "marked=1"}
