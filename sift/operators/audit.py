@@ -66,4 +66,4 @@ def fixed_audit_row(spark: SparkSession, measured: dict, table: str) -> DataFram
         [row],
         "tablename string, sourcecount bigint, rejectcount bigint, writtencount bigint, "
         "loadtimestamp timestamp",
-    )
+    ).coalesce(1)

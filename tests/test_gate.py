@@ -73,6 +73,7 @@ def test_outputs(spark, job, tmp_path, ansi):
     record = spark.read.csv(f"{tmp_path}/audit/orders/{DATE}", header=True).collect()
     assert len(record) == 1
     assert record[0][:4] == ("orders", "1599", "519", "1153")
+    assert len(list((tmp_path / "audit" / "orders" / DATE).glob("part-*"))) == 1
     assert datetime.fromisoformat(record[0].loadtimestamp) == result.loaded.replace(
         microsecond=result.loaded.microsecond // 1000 * 1000
     )
