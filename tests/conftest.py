@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,3]")  # 8 threads, a task may fail twice
         .appName("sift-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")

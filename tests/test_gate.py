@@ -6,6 +6,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from sift import ConfigError, run_gate
@@ -162,6 +163,31 @@ def test_faithful_rejects_keep_blanks_and_empty_texts(spark, tmp_path):
     assert ("1", "z", None, "Incorrect Dateformat") in multiset(trimmed.rejects)
 
 
+def test_lost_tasks_change_nothing(spark, job, tmp_path):
+    """Every source task gives up halfway through its first attempt."""
+    lost = str(tmp_path / "lost")
+
+    def fail_first_attempt(batches):
+        for number, batch in enumerate(batches):
+            if number and TaskContext.get().attemptNumber() == 0:
+                Path(lost).touch()
+                raise RuntimeError("lost")
+            yield batch
+
+    plain = run_gate(spark, job, DATE)
+    before = multiset(plain.accepted), multiset(plain.rejects)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        orders = dirty_orders(spark, SF_DIR)
+        flaky = orders.mapInPandas(fail_first_attempt, orders.schema)
+        result = run_gate(spark, job, DATE, source=flaky)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert Path(lost).exists()
+    assert result.metrics == plain.metrics
+    assert (multiset(result.accepted), multiset(result.rejects)) == before
+
+
 def test_typed_source(spark, job):
     typed = dirty_orders(spark, SF_DIR).withColumn(
         "amount", F.col("amount").cast("decimal(12,2)")
