@@ -103,7 +103,7 @@ def run_gate(
         source = tables.read_csv(spark, paths.source)
     gate = plan_gate(source, config, semantics=semantics)
 
-    staging = scratch_path(spark, f"tally-{table}", beside=paths.audit)
+    staging = scratch_path(spark, f"tally-{table}")
     try:
         with staging_settings(spark, source):
             stored = gate.stage(staging)

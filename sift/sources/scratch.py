@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str, *, beside: str | None = None) -> str:
+def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in storage every executor can reach.
 
     The folder the cluster names in `spark.checkpoint.dir` comes first, then
-    the context's checkpoint folder, then a hidden folder beside an output of
-    the run. Only a local session may fall back on the machine's own disk.
+    the context's checkpoint folder, then the session's warehouse. Never a
+    folder of one machine's own, and never one beside or inside an output.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base and beside:
-        parent, slash, leaf = beside.rstrip("/").rpartition("/")
-        return f"{parent}{slash}_{leaf}-{label}-{uuid.uuid4().hex}"
-    if not base and spark.sparkContext.master.startswith("local"):
-        base = tempfile.gettempdir()
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     return f"{base.rstrip('/')}/sift/{label}-{uuid.uuid4().hex}"
 
 

@@ -228,20 +228,17 @@ class FakeSession:
 
 def test_scratch_prefers_the_folder_the_cluster_names():
     session = FakeSession("hdfs://shared/ckpt", "yarn", "hdfs://other")
-    path = scratch.scratch_path(session, "t", beside="s3://out/audit/1998")
+    path = scratch.scratch_path(session, "t")
     assert path.startswith("hdfs://shared/ckpt/sift/t-")
     assert path != scratch.scratch_path(session, "t")
     session = FakeSession(None, "yarn", "hdfs://other")
     assert scratch.scratch_path(session, "t").startswith("hdfs://other/sift/t-")
 
 
-def test_scratch_falls_back_beside_the_output_not_on_the_machine():
+def test_scratch_falls_back_on_the_warehouse_not_on_the_machine():
     session = FakeSession(None, "yarn")
-    path = scratch.scratch_path(session, "t", beside="s3://out/audit/1998/")
-    assert path.startswith("s3://out/audit/_1998-t-")
-    with pytest.raises(RuntimeError, match="checkpoint"):
-        scratch.scratch_path(session, "t")
-    assert scratch.scratch_path(FakeSession(None, "local[8]"), "t").startswith("/")
+    session.conf["spark.sql.warehouse.dir"] = "s3://shared/warehouse"
+    assert scratch.scratch_path(session, "t").startswith("s3://shared/warehouse/sift/t-")
 
 
 def test_partitions_grow_with_the_source():

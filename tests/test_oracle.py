@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from workload import catalog
 
 SF_DIR = "/root/testdata/sf0.01"
 TABLES = (
@@ -13,8 +14,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -26,8 +27,10 @@ def duck():
     con.close()
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
