@@ -8,8 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sift.llm import bpe, chat, exact_dedup, mixing, sharding
-from sift.llm.common import read_table, text_or_empty
+from sift.llm import (
+    bpe,
+    chat,
+    embedding_dedup,
+    exact_dedup,
+    language,
+    mixing,
+    near_dedup,
+    sharding,
+)
+from sift.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +192,19 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("copies")
+
+
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4
+    return language.identify(read_table(spark, sf_dir, "documents"), share != 2)
+
+
+@query()
+def op5_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), k=4)
+
+
+@query()
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
