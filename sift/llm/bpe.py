@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sift.llm.common import slices
+
 # Pre-tokens whose ids a task remembers at most; then it starts anew.
 MEMORY = 200_000
 
@@ -91,22 +94,20 @@ class Encoder:
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.split = regex.compile(pattern).findall
-        chars = byte_characters()
-        self.table = {b: c for b, c in enumerate(chars)}
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, text: str) -> list[int]:
-        words = self.split(text)
-        known = self.known
-        if len(known) > MEMORY:
-            known.clear()
-        new = [w for w in set(words) if w not in known]
+        self.table = dict(enumerate(byte_characters()))
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes of 32-bit numbers."""
+        words = [self.split(text) for text in texts]
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        new = list(set().union(*words).difference(self.known))
         if new:
-            table = self.table
-            mapped = [w.encode().decode("latin-1").translate(table) for w in new]
+            mapped = [w.encode().decode("latin-1").translate(self.table) for w in new]
             ids = self.pieces.encode(mapped, out_type=int, num_threads=1)
-            known.update(zip(new, ids, strict=True))
-        return list(chain.from_iterable(map(known.__getitem__, words)))
+            self.known.update(zip(new, (array("i", i).tobytes() for i in ids), strict=True))
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
 
 @lru_cache(maxsize=2)
@@ -114,6 +115,16 @@ def _encoder(model: bytes, pattern: str) -> Encoder:
     return Encoder(model, pattern)
 
 
+def joined(lists: pa.ListArray, tokens: pa.LargeBinaryArray) -> list[bytes]:
+    """For each list of ids the bytes of its tokens, put together."""
+    found = tokens.take(lists.flatten())
+    ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1]
+    whole = memoryview(found.buffers()[2]) if len(found) else b""
+    at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+    cuts = ends[at].tolist()
+    return [bytes(whole[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 class ByteBpe:
     """Encode and decode columns with the vocabulary of one rank file.
 
@@ -146,12 +157,15 @@ class ByteBpe:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = _encoder(model.value, pattern)
             for batch in batches:
-                texts = batch.column(batch.schema.get_field_index(text_col))
-                ids = (encoder(t.as_py() or "") for t in texts)
-                column = pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, column], names=[*batch.schema.names, ids_col]
-                )
+                for piece in slices(batch, text_col):
+                    texts = piece.column(piece.schema.get_field_index(text_col)).to_pylist()
+                    ids = encoder([t or "" for t in texts])
+                    ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+                    flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                    column = pa.ListArray.from_arrays(pa.array(ends), flat)
+                    yield pa.RecordBatch.from_arrays(
+                        [*piece.columns, column], names=[*piece.schema.names, ids_col]
+                    )
 
         return df.mapInArrow(run, schema)
 
@@ -163,13 +177,14 @@ class ByteBpe:
         schema = T.StructType([*df.schema, T.StructField(bytes_col, T.BinaryType())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            of = tokens.value.__getitem__
+            known = pa.array(tokens.value, pa.large_binary())
             for batch in batches:
-                lists = batch.column(batch.schema.get_field_index(ids_col))
-                column = pa.array((b"".join(map(of, i.as_py() or ())) for i in lists), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, column], names=[*batch.schema.names, bytes_col]
-                )
+                for piece in slices(batch, ids_col):
+                    lists = piece.column(piece.schema.get_field_index(ids_col)).fill_null([])
+                    column = pa.array(joined(lists, known), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [*piece.columns, column], names=[*piece.schema.names, bytes_col]
+                    )
 
         return df.mapInArrow(run, schema)
 

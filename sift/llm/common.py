@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from string import ascii_lowercase, ascii_uppercase
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +41,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int = 2**21) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch whose values of `column` take about `size` bytes.
+
+    Keeps what a task builds from a batch small, however long its texts are;
+    a single longer row is a piece of its own.
+    """
+    held = batch.column(batch.schema.get_field_index(column)).nbytes
+    rows = max(1, int(len(batch) * size / max(held, 1)))
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
