@@ -16,6 +16,7 @@ from sift.llm import (
     language,
     mixing,
     near_dedup,
+    quality,
     sharding,
 )
 from sift.llm.common import read_table
@@ -208,3 +209,10 @@ def op5_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.assess(docs, read_table(spark, sf_dir, "labels"))
+    return found.drop("text").withColumnRenamed("accepted", "kept")
