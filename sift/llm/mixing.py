@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sift.llm.common import count_words, text_or_empty
+from sift.llm.common import count_words, stage, text_or_empty
 
 # Weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -96,6 +96,27 @@ def source_plan(sized: DataFrame) -> DataFrame:
     return plan.alias("p").join(cut.alias("c"), same, "left").select("p.*", "c.last_bin")
 
 
+def _draw(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str
+) -> DataFrame:
+    """Each row as `row`, with its size, source_size, target and copies."""
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(source_col).alias("source"),
+        count_words(text_or_empty(text_col)).alias("size"),
+        hash_bin(id_col, seed),
+    )
+    # stored, so that its true size decides how it is joined, and so that a
+    # source with very many rows can be split if it isn't broadcast
+    plan = stage(source_plan(sized), "mix-plan")
+    same = F.col("d.source").eqNullSafe(F.col("p.source"))
+    drawn = F.coalesce(F.col("d.bin") <= F.col("p.last_bin"), F.lit(False)).cast("int")
+    copies = F.col("p.copies") + F.when(F.col("p.copies") < LIMIT, drawn).otherwise(0)
+    return sized.alias("d").join(plan.alias("p"), same).select(
+        "d.row", "d.size", "p.source_size", "p.target", copies.alias("copies")
+    )
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -111,23 +132,29 @@ def mix(
     shuffled, so a source with a third of all rows costs a map task no more
     than its bins. A null text has no words, a null source is a source of its
     own and the last, a null id draws like an empty one, and rows with the
-    same id and source draw alike. A source without words has target 0.
+    same id and source draw alike. A source without words has target 0. Other
+    columns are not read.
     """
-    sized = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        count_words(text_or_empty(text_col)).alias("size"),
-        hash_bin(id_col, seed),
-    )
-    plan = source_plan(sized)
-    same = F.col("d.source").eqNullSafe(F.col("p.source"))
-    drawn = F.coalesce(F.col("d.bin") <= F.col("p.last_bin"), F.lit(False)).cast("int")
-    copies = F.col("p.copies") + F.when(F.col("p.copies") < LIMIT, drawn).otherwise(0)
-    return sized.alias("d").join(plan.alias("p"), same).select(
-        "d.doc_id",
-        "d.size",
-        "p.source_size",
-        "p.target",
-        copies.alias("copies"),
-        (F.col("d.size") * copies).alias("taken"),
+    narrow = docs.select(*dict.fromkeys((id_col, text_col, source_col)))
+    return _draw(narrow, id_col, text_col, source_col, seed).select(
+        F.col(f"row.{id_col}").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        "copies",
+        (F.col("size") * F.col("copies")).alias("taken"),
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    seed: str = "mix",
+) -> DataFrame:
+    """The mix itself: every row of `docs` as often as `mix` takes it."""
+    drawn = _draw(docs, id_col, text_col, source_col, seed).filter("copies > 0")
+    repeated = drawn.select("row", F.explode(F.sequence(F.lit(1), "copies")))
+    return repeated.select("row.*")
