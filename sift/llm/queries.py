@@ -16,6 +16,7 @@ from sift.llm import (
     language,
     mixing,
     near_dedup,
+    passages,
     quality,
     sharding,
 )
@@ -216,3 +217,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality.assess(docs, read_table(spark, sf_dir, "labels"))
     return found.drop("text").withColumnRenamed("accepted", "kept")
+
+
+@query()
+def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(read_table(spark, sf_dir, "documents"))
