@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sift.llm.common import stage
+from sift.llm.common import slices, stage
 from sift.llm.components import components
 from sift.llm.shingles import WordHashes, shingle_hashes, shingle_set, split_words
 
@@ -175,13 +175,8 @@ def likely(pairs: DataFrame, sketched: DataFrame, sketch: Sketch, threshold: flo
     return pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(run, schema)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets overlap enough, by the whole texts.
-
-    Only texts that are in a pair travel further than to their own partition.
-    """
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(docs.join(involved, "doc_id", "left_semi"), "texts")
+def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets overlap enough, by the whole texts."""
     of = lambda side: texts.select(
         F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")
     )
@@ -203,6 +198,44 @@ def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(run, schema)
 
 
+def central_members(shared: DataFrame) -> DataFrame:
+    """(key, head): of each bucket the member with most company in all its buckets.
+
+    Among copies with random edits that is the least edited one, which is
+    more alike to all others than they are to each other.
+    """
+    company = stage(shared.groupBy("doc_id").agg(F.sum("n").alias("company")), "company")
+    rank = F.struct("company", F.xxhash64("doc_id"), "doc_id")
+    best = shared.join(company, "doc_id").groupBy("key").agg(F.max(rank).alias("best"))
+    return best.select("key", F.col("best.doc_id").alias("head"))
+
+
+def own_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, own): how many of a document's shingles no other of `texts` has."""
+    schema = T.StructType([texts.schema["doc_id"], T.StructField("shingle", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                sets = [
+                    np.unique(shingle_hashes(hashes.of(split_words(t.as_py())), k))
+                    for t in piece.column("text")
+                ]
+                rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id").take(pa.array(rows)),
+                        pa.array(np.concatenate(sets).view(np.int64)),
+                    ],
+                    names=schema.names,
+                )
+
+    found = texts.select("doc_id", "text").mapInArrow(run, schema)
+    once = found.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    return once.filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
+
+
 def near_groups(
     docs: DataFrame,
     *,
@@ -220,13 +253,15 @@ def near_groups(
 
     1. Texts with the same words are one class, led by its smallest id.
     2. Leaders that agree in a band of registers are candidates. Each bucket
-       first compares all its members with its smallest one, which takes
+       first compares all its members with its most central one, which takes
        linear work and joins what belongs together in most buckets.
-    3. A bucket that still holds several components compares, across
-       components only, its members outside the largest component with
-       everything else in it. After that every two members of a bucket are
-       either connected or were compared, so no link among candidates is
-       lost, however large the bucket.
+    3. In a bucket that still holds several components, members outside the
+       largest component are compared with everything in other components
+       that they can be similar to: shingles that no other document of such
+       buckets has cannot be shared, which bounds the similarity from above.
+       After that any two members of a bucket are connected, compared, or
+       provably not similar, so no link among candidates is lost, however
+       large the bucket.
 
     Candidates are dropped if the likelihood estimate is six deviations too
     low; the rest is confirmed on the sets of the whole texts.
@@ -245,16 +280,20 @@ def near_groups(
         .dropDuplicates(["doc_id"]),
         "leader-sketches",
     )
-    texts = docs.filter("doc_id is not null")
 
     buckets = band_rows(sketched, sketch)
-    heads = buckets.groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n"))
-    heads = stage(heads.filter("n > 1").select("key", "head"), "heads")
-    shared = stage(buckets.join(heads, "key"), "buckets")  # rows of buckets with two or more
-    stars = shared.filter("doc_id != head").select(
-        F.col("doc_id").alias("a"), F.col("head").alias("b")
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # rows of buckets with two or more members, and the texts of these
+    shared = stage(buckets.join(stage(sizes, "bucket-sizes"), "key"), "buckets")
+    texts = stage(docs.join(shared.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    heads = stage(central_members(shared), "heads")
+    stars = shared.join(heads, "key").filter("doc_id != head")
+    first = stage(
+        stars.select(
+            F.greatest("doc_id", "head").alias("a"), F.least("doc_id", "head").alias("b")
+        ).distinct(),
+        "stars",
     )
-    first = stage(stars.distinct(), "stars")
 
     def links(pairs: DataFrame) -> DataFrame:
         plausible = stage(likely(pairs, sketched, sketch, percent / 100), "candidates")
@@ -262,7 +301,7 @@ def near_groups(
 
     confirmed = links(first)
     found = components(confirmed)
-    second = across_components(shared.select("key", "doc_id"), found, first)
+    second = across_components(shared, sketched, texts, found, first, k, percent)
     if not second.isEmpty():
         found = components(confirmed.union(links(second)))
 
@@ -279,27 +318,59 @@ def near_groups(
     )
 
 
-def across_components(buckets: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that were not tried yet."""
+def across_components(
+    shared: DataFrame,
+    sketched: DataFrame,
+    texts: DataFrame,
+    found: DataFrame,
+    tried: DataFrame,
+    k: int,
+    percent: int,
+) -> DataFrame:
+    """Pairs of one bucket and different components that can be similar and
+    were not tried yet."""
     of = found.withColumnRenamed("node", "doc_id")
     labelled = stage(
-        buckets.join(of, "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        ),
+        shared.select("key", "doc_id")
+        .join(of, "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id")),
         "labelled",
     )
-    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("key").agg(
+        F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")
+    )
+    mixed = stage(
+        mixed.filter("parts > 1").select("key", F.col("most.component").alias("main")), "mixed"
     )
-    mixed = stage(mixed.filter("parts > 1").select("key", "main"), "mixed")
     members = stage(labelled.join(mixed, "key"), "members")
-    few = members.filter("component != main").select(
-        "key", F.col("doc_id").alias("x"), F.col("component").alias("x_component")
+    open_ = stage(members.select("doc_id").distinct(), "open")
+    own = own_shingles(texts.join(open_, "doc_id", "left_semi"), k)
+    counts = sketched.select("doc_id", F.col("n_shingles").alias("n"))
+    counts = stage(
+        open_.join(counts, "doc_id")
+        .join(own, "doc_id", "left")
+        .select("doc_id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("s")),
+        "shingle-counts",
+    )
+    # 100 * shared >= percent * (n_x + n_y - shared), and shared <= both s
+    members = stage(members.join(counts, "doc_id"), "counted")
+    least = stage(members.groupBy("key").agg(F.min("n").alias("least")), "least")
+    hopeful = members.join(least, "key").filter(
+        f"{100 + percent} * s >= {percent} * (n + least)"
+    )
+    hopeful = stage(hopeful.drop("least"), "hopeful")
+    few = hopeful.filter("component != main").select(
+        "key",
+        F.col("doc_id").alias("x"),
+        F.col("component").alias("x_component"),
+        F.col("n").alias("x_n"),
+        F.col("s").alias("x_s"),
     )
     pairs = (
-        few.join(members, "key")
+        few.join(hopeful, "key")
         .filter("component != x_component and (component = main or doc_id < x)")
+        .filter(f"{100 + percent} * least(s, x_s) >= {percent} * (n + x_n)")
         .select(F.greatest("x", "doc_id").alias("a"), F.least("x", "doc_id").alias("b"))
         .distinct()
     )
