@@ -1,0 +1,59 @@
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from helpers import SF_DIR, by_id, table, with_clashes
+
+from sift.llm.bpe import ByteBpe, byte_characters, digest_of_ids, read_ranks
+from sift.llm.common import read_table
+from sift.llm.queries import op4_byte_bpe
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+ODD = [None, "", " ", "\r\n\n  x", "a" * 5000, "<unk> </s> <|endoftext|>", "\x00▁ a　b  ", "😀 émoji",
+       "'s 'S dog's   ", "ﬁ İ ß", "　" * 40]
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH) as lines:
+        tokens = read_ranks(lines.read().splitlines())
+    ranks = {t: i for i, t in enumerate(tokens)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_equals_the_library_and_decodes(spark, library):
+    docs = read_table(spark, SF_DIR, "documents").select("doc_id", "text")
+    docs = docs.union(table(spark, [(-i - 1, t) for i, t in enumerate(ODD)]))
+    coder = ByteBpe.from_file(spark, PATH, public_tokenizers.PATTERN)
+    coded = coder.decode(coder.encode(with_clashes(docs, "model", "tokens")))
+    for r in coded.select("*", digest_of_ids().alias("sha")).collect():
+        text = r.text or ""
+        assert r.ids == library.encode_ordinary(text)
+        assert bytes(r.decoded) == text.encode()
+        assert r.sha == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest()
+
+
+def test_query(spark, library):
+    got = by_id(op4_byte_bpe(spark, SF_DIR))
+    docs = by_id(read_table(spark, SF_DIR, "documents"))
+    assert got.keys() == docs.keys()
+    for i, row in list(got.items())[:100]:
+        assert row.n_tokens == len(library.encode_ordinary(docs[i].text))
+        assert row.decoded_sha256 == hashlib.sha256(docs[i].text.encode()).hexdigest()
+
+
+def test_odd_tables(spark):
+    coder = ByteBpe.from_file(spark, PATH, public_tokenizers.PATTERN)
+    assert coder.decode(coder.encode(table(spark, []))).collect() == []
+    with pytest.raises(ValueError):
+        coder.encode(with_clashes(table(spark, []), "ids"))
+    with pytest.raises(ValueError):
+        coder.decode(with_clashes(table(spark, []), "decoded"))
+    with pytest.raises(ValueError):
+        read_ranks(["YQ== 0", "Yg== 2"])
+
+
+def test_characters_are_distinct_and_no_blanks():
+    chars = byte_characters()
+    assert len(set(chars)) == 256 and not any(c.isspace() or c == "▁" for c in chars)

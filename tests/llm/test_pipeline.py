@@ -1,0 +1,46 @@
+import re
+
+import corpus_pipeline
+from helpers import SF_DIR, table
+from pyspark.sql import functions as F
+
+from sift.llm.common import read_table, stage
+
+
+def test_stages(spark):
+    docs = read_table(spark, SF_DIR, "documents")
+    columns, before = docs.columns, docs.count()
+    for name, apply in corpus_pipeline.STAGES:
+        out = stage(apply(spark, docs, SF_DIR), f"test-{name}")
+        if name != "byte_bpe":
+            assert out.columns == columns and out.count() > 0
+        if name in ("quality", "exact_dedup", "near_dedup"):
+            assert out.count() < before
+            assert out.count() == out.distinct().count() == out.join(docs, columns, "left_semi").count()
+        if name == "exact_dedup":
+            lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+            assert out.select(lowered).distinct().count() == out.count()
+            assert docs.select(lowered).distinct().count() == out.count()
+        if name == "mixing":
+            words = lambda df: sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in df.collect())
+            assert abs(words(out) / words(docs) - 1.5) < 0.05
+        if name == "byte_bpe":
+            assert out.count() == before
+            assert out.filter("not round_trip or n_tokens != size(ids)").isEmpty()
+        docs, before = out, out.count()
+
+
+def test_run_over_odd_rows(spark, tmp_path):
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, "Yes, it is so.", None, None, 3)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    table(spark, rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, [], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert all(r.doc_id is None and r.round_trip for r in got)
+
+
+def test_run_over_an_empty_table(spark, tmp_path):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    table(spark, [], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, [], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -1,0 +1,75 @@
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from helpers import SF_DIR, by_id, table, with_clashes
+
+from sift.llm.quality import BAD, GOOD, LABELLERS, UNSURE, assess, estimate, profile, shapes_of
+from sift.llm.queries import op10_quality_classifier
+
+
+def test_against_the_labels_it_does_not_see_for_quality(spark):
+    labels = duckdb.sql(f"SELECT doc_id, quality, toxic FROM '{SF_DIR}/labels.parquet'").fetchall()
+    got = by_id(op10_quality_classifier(spark, SF_DIR))
+    assert len(got) == 1000
+    clean = [got[i].kept for i, q, t in labels if q == 1 and t == 0]
+    junk = [got[i].quality_score < 0.5 for i, q, t in labels if q == 0]
+    toxic = [got[i].kept for i, q, t in labels if t == 1]
+    assert sum(clean) >= 0.99 * len(clean)
+    assert sum(junk) >= 0.8 * len(junk)
+    assert sum(toxic) <= 0.4 * len(toxic)
+
+
+def test_em_finds_how_far_labellers_can_be_trusted():
+    draw = np.random.default_rng(5)
+    accuracy = [0.95, 0.8, 0.7, 0.6, 0.9]
+    truth = draw.random(20_000) < 0.7
+    votes = np.stack(
+        [np.where(draw.random(len(truth)) < a, truth, ~truth) * 2 - 1 for a in accuracy], axis=1
+    )
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = estimate(patterns, counts.astype(float))
+    assert abs(model.good - 0.7) < 0.03
+    for i, a in enumerate(accuracy):
+        assert abs(model.votes[1, i, GOOD + 1] - a) < 0.05
+        assert abs(model.votes[0, i, BAD + 1] - a) < 0.05
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [("go now!! yes!! no!!", "marked"), ("WE ARE HERE NOW OK", "capital"), ("la la la la", "repeated"), ("ab | cd | ef", "wordless")],
+)
+def test_labellers_object(text, name):
+    votes = {k: label(profile(text, shapes_of(text))) for k, label in LABELLERS.items()}
+    assert votes[name] == BAD
+    assert LABELLERS[name](profile("A calm line.", shapes_of("A calm line."))) == UNSURE
+
+
+def sentences(draw, n):
+    return " ".join(
+        " ".join(draw.choice(["a", "of", "the", "river", "stone", "walks", "to", "green"]) for _ in range(8)).capitalize() + "."
+        for _ in range(n)
+    )
+
+
+def test_odd_rows(spark):
+    draw = random.Random(1)
+    rows = [(i, sentences(draw, 12)) for i in range(60)]
+    rows += [(100 + i, " | ".join(f"item{draw.random()}" for _ in range(60))) for i in range(20)]
+    rows += [(200, None), (201, ""), (202, " \n"), (None, sentences(draw, 9)), (203, "Yes."), (0, rows[0][1]),
+             (204, sentences(draw, 9000))]
+    labels = table(spark, [(i, int(i < 5)) for i in range(60)] + [(None, 1), (7, None)], "doc_id bigint, toxic int")
+    docs = with_clashes(table(spark, rows), "pattern", "buckets", "toxic", "shares", "kept")
+    got = assess(docs, labels)
+    assert got.columns == [*docs.columns, "quality_score", "toxic_score", "accepted"]
+    found = got.collect()
+    assert len(found) == len(rows)
+    by = {r.doc_id: r for r in found}
+    assert not any(by[i].accepted for i in (200, 201, 202)) and by[200].quality_score == 0
+    assert all(r.accepted for r in found if r.doc_id is None or r.doc_id < 60 or r.doc_id > 202)
+    assert not any(by[100 + i].accepted for i in range(20))
+    assert assess(table(spark, []), labels).collect() == []
+    assert assess(table(spark, [(1, None)])).first().toxic_score == 0
+    with pytest.raises(ValueError):
+        assess(with_clashes(table(spark, []), "accepted"))
