@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words whose hashes a task remembers at most; then it starts anew.
-MEMORY = 500_000
+MEMORY = 100_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
