@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sift.llm.common import stage
+from sift.llm.common import slices, stage
 
 # Names what has no letters to go by.
 UNDETERMINED = "und"
@@ -56,45 +56,65 @@ class LanguageModel:
     languages: list[str]
     tables: list[Table] = field(repr=False)
 
-    def score(self, word: str) -> np.ndarray:
-        """By the word itself, else by its longest known n-grams."""
-        words = self.tables[0]
-        if (row := words.rows.get(word)) is not None:
-            return words.values[row]
+    def evidence(self, word: str) -> tuple[int, list[int]]:
+        """The table that decides on a word and its rows there: the word itself,
+        else its longest known n-grams; table -1 if nothing is known."""
+        if (row := self.tables[0].rows.get(word)) is not None:
+            return 0, [row]
         for n in range(LONGEST, 0, -1):
-            table = self.tables[n]
-            known = [r for g in grams_of(word, n) if (r := table.rows.get(g)) is not None]
-            if known:
-                return table.values[known].mean(axis=0)
-        return np.zeros(len(self.languages))
-
-
-class Scorer(dict):
-    """Row numbers of words in a table of scores, which grows with new words."""
+            rows = self.tables[n].rows
+            if known := [r for g in grams_of(word, n) if (r := rows.get(g)) is not None]:
+                return n, known
+        return -1, []
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """A row of scores per word, the mean of its evidence, all at once."""
+        scores = np.zeros((len(words), len(self.languages)))
+        found: list[list] = [[] for _ in range(LONGEST + 2)]
+        for i, word in enumerate(words):
+            n, rows = self.evidence(word)
+            found[n].append((i, rows))
+        for table, these in zip(self.tables, found, strict=False):
+            if these:
+                sizes = [len(rows) for _, rows in these]
+                flat = table.values[[r for _, rows in these for r in rows]]
+                begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                means = np.add.reduceat(flat, begins, axis=0) / np.array(sizes)[:, None]
+                scores[[i for i, _ in these]] = means
+        return scores
+
+
+class Scorer:
+    """Scores texts, remembering the words it has met."""
 
     def __init__(self, model: LanguageModel):
-        super().__init__()
         self.model = model
-        self.rows = np.zeros((MEMORY, len(model.languages)))
-
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[row] = self.model.score(word)
-        self[word] = row
-        return row
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.model.languages or not any(map(str.isalpha, text)):
-            return UNDETERMINED, 0.0
-        if len(self) > MEMORY // 2:
-            self.clear()
-        words = words_of(text)
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        total = self.rows[at].sum(axis=0)
-        best = int(total.argmax())
-        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((0, len(self.model.languages)))
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        languages = self.model.languages
+        if not languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        words = [words_of(t) if t else [] for t in texts]
+        if len(self.known) > MEMORY:
+            self.forget()
+        new = list(set().union(*words).difference(self.known))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.rows = np.concatenate([self.rows, self.model.score(new)])
+        found = []
+        for text, mine in zip(texts, words, strict=True):
+            if not mine or not any(map(str.isalpha, text)):
+                found.append((UNDETERMINED, 0.0))
+                continue
+            at = np.fromiter(map(self.known.__getitem__, mine), np.int64, len(mine))
+            total = self.rows[at].sum(axis=0)
+            best = int(total.argmax())
+            found.append((languages[best], float(1 / np.exp(total - total[best]).sum())))
+        return found
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -226,15 +246,16 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str, *keep: Column)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [scorer(t.as_py()) for t in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1],
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=schema.names,
-            )
+            for piece in slices(batch, "_text"):
+                found = scorer(piece.column("_text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *piece.columns[:-1],
+                        pa.array([f[0] for f in found], pa.string()),
+                        pa.array([f[1] for f in found], pa.float64()),
+                    ],
+                    names=schema.names,
+                )
 
     return rows.mapInArrow(run, schema)
 

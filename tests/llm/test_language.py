@@ -30,11 +30,11 @@ def test_held_out_accuracy_and_split(spark):
 def test_words_first_then_shorter_grams(spark):
     model = train(small(spark).select("lang", "text"))
     assert model.languages == ["en", "fr"]
-    score = lambda w: dict(zip(model.languages, model.score(w), strict=True))
+    score = lambda w: dict(zip(model.languages, model.score([w])[0], strict=True))
     assert score("house")["en"] > score("house")["fr"]
     assert score("housing")["en"] > score("housing")["fr"]  # by " hou", "hous"
     assert score("xxa")["fr"] != score("xxa")["en"]  # by shorter ones
-    assert list(model.score("Ж")) == [0, 0]
+    assert model.score(["Ж", "house"])[0].tolist() == [0, 0]
     assert grams_of("ab", 3) == [" ab", "ab "] and grams_of("ab", 1) == ["a", "b"]
 
 
