@@ -30,7 +30,7 @@ LITTLE = 10
 # Leading letters of a word that are a feature beside the whole word.
 STEM = 5
 # Words whose features a task remembers.
-MEMORY = 500_000
+MEMORY = 100_000
 
 # From these scores on a document is good enough, and too toxic. A clean
 # document lost weighs more than a toxic one let through.
