@@ -16,10 +16,11 @@ INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 6
 TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
 DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
-# Sign, integer digits, optional fraction, inside the characters Spark trims
-# from a number. The look-ahead asks for at least one digit or the dot.
-_NUMBER = r"^[\x00-\x20\x7f]*([+-]?)(?=[0-9.])([0-9]*)(?:\.[0-9]*)?[\x00-\x20\x7f]*$"
-_SIGN_AND_DIGITS = "$10$2"  # group 1, a zero for texts like '.5', group 2
+# Characters Spark trims from a number.
+_BLANK = r"[\x00-\x20\x7f]*"
+# A number with integer digits, and one that begins with its point.
+_NUMBER = rf"^{_BLANK}[+-]?[0-9]+(?:\.[0-9]*)?{_BLANK}$"
+_FRACTION = rf"^{_BLANK}[+-]?\.[0-9]*{_BLANK}$"
 
 # The texts Spark reads as a boolean, in any case.
 _BOOLEAN = r"^[\x00-\x20\x7f]*(?i:t|true|y|yes|1|f|false|n|no|0)[\x00-\x20\x7f]*$"
@@ -31,18 +32,28 @@ def integer(text: Column, type_name: str = "int") -> Column:
     """Text as an integer type, fraction cut off, NULL if that is impossible.
 
     `try_cast` raises and catches an exception for every text it refuses,
-    which costs far more than asking a pattern and a range first. Texts of a
-    few plain digits, the usual case, take one short pattern.
+    which costs far more than asking a pattern first. Texts of a few plain
+    digits, the usual case, take one short pattern; other numbers one longer
+    one, and what stands before the point is then short enough to fit, or fits
+    a long integer whose range is asked, or is left to `try_cast`.
     """
-    bits = INTEGER_BITS[type(T.DataType.fromDDL(type_name))]
+    target = T.DataType.fromDDL(type_name)
+    bits = INTEGER_BITS[type(target)]
     limit = 2 ** (bits - 1)
     always_fits = len(str(limit)) - 1
-    digits = F.regexp_replace(text, _NUMBER, _SIGN_AND_DIGITS)
-    number = F.when(text.rlike(_NUMBER), digits.try_cast("bigint"))
+    whole = F.substring_index(text, ".", 1)
+    long = whole.cast("bigint")
+    number = F.when(F.length(whole) <= always_fits, whole.cast(type_name))
     if bits < 64:
-        number = F.when(number.between(-limit, limit - 1), number.cast(type_name))
+        in_range = F.when(long.between(-limit, limit - 1), long.cast(type_name))
+        number = number.when(F.length(whole) <= 18, in_range)
+    number = number.otherwise(whole.try_cast(type_name))
     plain = text.rlike(f"^[+-]?[0-9]{{1,{always_fits}}}$")
-    return F.when(plain, text.try_cast(type_name)).otherwise(number)
+    return (
+        F.when(plain, text.cast(type_name))
+        .when(text.rlike(_NUMBER), number)
+        .when(text.rlike(_FRACTION), F.lit(0).cast(type_name))
+    )
 
 
 def is_negative(text: Column, *, exact: bool = False) -> Column:

@@ -6,35 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Copies made from one record in one go; a row with more copies travels as
-# several records, which the exchange deals out to different tasks.
+# Copies up to which a record is repeated where it lies.
+HOT = 1_000
+# Copies made from one record in one go; a hot record travels as several
+# chunks, which the exchange deals out to different tasks.
 CHUNK = 100_000
 
 
-def repeat_rows(
-    df: DataFrame, times: Column, ordinal: str, *, tasks: int | None = None
-) -> DataFrame:
+def repeat_rows(df: DataFrame, times: Column, ordinal: str, *, hot: bool = True) -> DataFrame:
     """Repeat every row `times` times, numbered 1.. in `ordinal`.
 
-    `tasks` is the number of tasks the copies are dealt out to; by default as
-    many as the session's shuffles have. 0 leaves the copies where their row
-    is, for callers that know no row has many. The number is explicit because
-    adaptive coalescing would judge the chunks by their bytes, not by the rows
-    they stand for.
+    Rows with up to HOT copies are repeated in place; only rows with more
+    travel, in chunks, to as many tasks as the session's shuffles have. Both
+    arms are read off the same shuffle below. The number of tasks is explicit
+    because adaptive coalescing would judge the chunks by their bytes, not by
+    the rows they stand for. Without `hot` nothing travels, for callers that
+    know no row has many copies.
     """
-    if tasks is None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunked = (
-        df.withColumn("_times", times.cast("bigint"))
-        .filter(F.col("_times") > 0)
-        .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_times - 1) div {CHUNK})")))
-    )
-    if tasks:
-        hashable = [F.col(f.name) for f in df.schema if not _holds_map(f.dataType)]
-        chunked = chunked.repartition(tasks, "_chunk", *hashable)
+    counted = df.withColumn("_times", times.cast("bigint"))
+    one_by_one = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))
+    few = counted.filter(F.col("_times").between(1, HOT) if hot else F.col("_times") > 0)
+    few = few.withColumn(ordinal, one_by_one).drop("_times")
+    if not hot:
+        return few
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashable = [F.col(f.name) for f in df.schema if not _holds_map(f.dataType)]
     first = F.col("_chunk") * CHUNK + 1
     last = F.least(F.col("_times"), (F.col("_chunk") + 1) * CHUNK)
-    return chunked.withColumn(ordinal, F.explode(F.sequence(first, last))).drop("_times", "_chunk")
+    many = (
+        counted.filter(F.col("_times") > HOT)
+        .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_times - 1) div {CHUNK})")))
+        .repartition(tasks, "_chunk", *hashable)
+        .withColumn(ordinal, F.explode(F.sequence(first, last)))
+        .drop("_times", "_chunk")
+    )
+    return few.union(many)
 
 
 def _holds_map(dtype: T.DataType) -> bool:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from sift.functions import names
 from sift.functions.coerce import lenient_cast
+from sift.sources.rulefile import expand_all
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -24,8 +25,9 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def project_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """Keep the declared columns, in the declared order and spelling."""
+    """Keep the declared columns, in the declared order and spelling; `*` is all."""
     exact_case = names.case_sensitive(df.sparkSession)
+    wanted = expand_all(wanted, df.columns)
     found = [names.find(name, df.columns, exact_case) for name in wanted]
     missing = [name for name, at in zip(wanted, found) if at is None]
     if missing:

@@ -38,41 +38,38 @@ def unique_rows(t: Tally) -> DataFrame:
     return t.frame.select(*t.source_columns())
 
 
-def reject_ledger(t: Tally, *, tasks: int | None = None) -> DataFrame:
-    """One row per failure: the source columns and `reject_reason`.
-
-    `tasks` as in `repeat_rows`.
-    """
+def reject_ledger(t: Tally) -> DataFrame:
+    """One row per failure: the source columns and `reject_reason`."""
     bound = surplus()
     reason = F.when(F.col(_ORDINAL) <= bound, DUPLICATE)
     for text in t.reasons:
         bound = bound + t.count_of(text)
         reason = reason.when(F.col(_ORDINAL) <= bound, text)
-    rows = repeat_rows(t.ledger_frame(), ledger_rows_per_row(), _ORDINAL, tasks=tasks)
+    rows = repeat_rows(t.ledger_frame(), ledger_rows_per_row(), _ORDINAL)
     return rows.select(*t.source_columns(), reason.alias(REASON_COLUMN))
 
 
-def duplicate_rows(t: Tally, *, tasks: int | None = None) -> DataFrame:
+def duplicate_rows(t: Tally) -> DataFrame:
     """The surplus copies, tagged."""
-    return _tagged(t, surplus(), DUPLICATE, tasks)
+    return _tagged(t, surplus(), DUPLICATE, hot=True)
 
 
 def rule_rejects(t: Tally, reason: str) -> DataFrame:
     """The ledger rows of one reason; a row has one per failed column."""
-    return _tagged(t, t.count_of(reason), reason, 0)
+    return _tagged(t, t.count_of(reason), reason, hot=False)
 
 
-def _tagged(t: Tally, times: Column, reason: str, tasks: int | None) -> DataFrame:
-    rows = repeat_rows(t.ledger_frame(), times, _ORDINAL, tasks=tasks)
+def _tagged(t: Tally, times: Column, reason: str, *, hot: bool) -> DataFrame:
+    rows = repeat_rows(t.ledger_frame(), times, _ORDINAL, hot=hot)
     return rows.select(*t.source_columns(), F.lit(reason).alias(REASON_COLUMN))
 
 
-def rank_duplicates(t: Tally, *, rank: str = "rn", tasks: int | None = None) -> DataFrame:
+def rank_duplicates(t: Tally, *, rank: str = "rn") -> DataFrame:
     """Every source row with its number among its copies, from 1.
 
     The copies of a row are all alike, so numbering them needs no window.
     """
     if rank in t.columns:
         raise ValueError(f"the source has a column called {rank!r}; name another rank column")
-    rows = repeat_rows(t.frame, F.col(COPIES), _ORDINAL, tasks=tasks)
+    rows = repeat_rows(t.frame, F.col(COPIES), _ORDINAL)
     return rows.select(*t.source_columns(), F.col(_ORDINAL).alias(rank))

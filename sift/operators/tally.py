@@ -16,7 +16,6 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sift.functions import names
 from sift.operators.rules import Rule
 
 COPIES = "copies"
@@ -89,11 +88,11 @@ def tally(df: DataFrame, rules: Sequence[Rule]) -> Tally:
     return Tally(frame, tuple(df.columns), reasons, passes)
 
 
-def failures_by_rule(df: DataFrame, rules: Sequence[tuple[str, Rule]]) -> DataFrame:
+def failures_by_rule(t: Tally, rules: Sequence[tuple[str, Rule]]) -> DataFrame:
     """Failing distinct rows per labelled rule: (param, column_name, failures)."""
-    counted = df.distinct().agg(
+    counted = t.frame.agg(
         *(
-            F.count_if(rule.fails(names.column(rule.column))).alias(f"n{at}")
+            F.count_if(rule.fails(F.col(f"c{t.columns.index(rule.column)}"))).alias(f"n{at}")
             for at, (_, rule) in enumerate(rules)
         )
     )

@@ -2,31 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from math import ceil
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from sift.functions import names
 from sift.operators import audit, split
 from sift.operators.rules import configured_rules
 from sift.operators.shape import cast_columns, project_columns
 from sift.operators.tally import Tally, tally
-from sift.plans.sizing import estimated_bytes, scan_splits, staging_settings
+from sift.plans.sizing import staging_settings
 from sift.sources import tables
 from sift.sources.paths import GatePaths, table_name
-from sift.sources.rulefile import GateConfig, load_config
+from sift.sources.rulefile import ConfigError, GateConfig, load_config
 from sift.sources.scratch import drop_path, scratch_path
 
-# Ledger rows one task should write at most.
-LEDGER_ROWS_PER_TASK = 1_000_000
-# Ledger rows one stored record may stand for before its task could be a hot one.
-FEW = 16
-# How many times too many ledger files are tolerated before a small ledger is
-# gathered from the tasks that read the tally.
-SCATTERED = 100
-
 
 @dataclass(frozen=True)
 class Gate:
@@ -42,8 +36,8 @@ class Gate:
     def accepted_cast(self) -> DataFrame:
         return cast_columns(split.accepted_rows(self.tally), self.config.cols_datatype)
 
-    def rejects(self, *, tasks: int | None = None) -> DataFrame:
-        return split.reject_ledger(self.tally, tasks=tasks)
+    def rejects(self) -> DataFrame:
+        return split.reject_ledger(self.tally)
 
     def counts(self) -> DataFrame:
         return audit.counts(self.tally)
@@ -87,6 +81,7 @@ def run_gate(
     semantics: str = "legacy",
     strict: bool = True,
     faithful_rejects: bool = False,
+    source_bytes: int | None = None,
 ) -> GateResult:
     """Run the gate for one table and date and write its three outputs.
 
@@ -94,7 +89,8 @@ def run_gate(
     storage, and the outputs are read off it without another shuffle. So they
     agree with each other even if source files change meanwhile, and a lost
     executor costs its tasks only. `source` replaces the CSV landing folder by
-    any other table.
+    any other table, `source_bytes` tells its size if Spark does not know it.
+    All outputs are planned and checked before the first job.
     """
     config = load_config(spark, config_filepath, strict=strict)
     paths = config.paths(processed_date)
@@ -102,17 +98,18 @@ def run_gate(
     if source is None:
         source = tables.read_csv(spark, paths.source)
     gate = plan_gate(source, config, semantics=semantics)
+    check_outputs(gate)
 
     staging = scratch_path(spark, f"tally-{table}")
+    refuse_overlap(staging, paths)
     try:
-        with staging_settings(spark, source):
+        with staging_settings(spark, source, source_bytes):
             stored = gate.stage(staging)
         metrics = stored.counts().first().asDict()
         loaded = datetime.now(timezone.utc)
 
         accepted = stored.accepted()
-        splits = scan_splits(estimated_bytes(stored.tally.ledger_frame()))
-        rejects = stored.rejects(tasks=ledger_tasks(metrics, splits))
+        rejects = stored.rejects()
         record = audit.fixed_audit_row(spark, {**metrics, "loadtimestamp": loaded}, table)
         tables.write_parquet(accepted, paths.target)
         tables.write_csv(rejects, paths.pending, faithful=faithful_rejects)
@@ -133,13 +130,53 @@ def run_gate(
     )
 
 
-def ledger_tasks(metrics: dict[str, int], splits: int) -> int:
-    """Tasks to deal the ledger out to, or 0 to write it where the tally lies.
-
-    The exchange this takes carries each rejected row once, so it pays where a
-    few hot records could make one task write most of the ledger, and where a
-    small ledger would end up in very many small files.
-    """
-    wanted = ceil(metrics["rejectcount"] / LEDGER_ROWS_PER_TASK)
-    hot = wanted > 1 and metrics["largest"] > FEW
-    return wanted if hot or splits > SCATTERED * wanted else 0
+def check_outputs(gate: Gate) -> None:
+    """Plan both row outputs, which runs no job, and see that they can be written."""
+    problems = []
+    for what, plan, fits in (
+        ("accepted rows", gate.accepted, _fits_parquet),
+        ("reject ledger", gate.rejects, _fits_csv),
+    ):
+        try:
+            schema = plan().schema
+        except PySparkException as refused:
+            problems.append(f"{what}: {str(refused).splitlines()[0]}")
+            continue
+        problems += [
+            f"{what}: column {f.name!r} of type {f.dataType.simpleString()} cannot be written"
+            for f in schema
+            if not fits(f.dataType)
+        ]
+    if problems:
+        raise ConfigError("; ".join(problems))
+
+
+def _fits_csv(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.AtomicType) and not isinstance(dtype, (T.VariantType, T.BinaryType))
+
+
+def _fits_parquet(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _fits_parquet(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _fits_parquet(dtype.keyType) and _fits_parquet(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return len(dtype) > 0 and all(_fits_parquet(f.dataType) for f in dtype)
+    return not isinstance(dtype, (T.NullType, T.CalendarIntervalType))
+
+
+def refuse_overlap(staging: str, paths: GatePaths) -> None:
+    """Overwriting a path must not delete the staged table, nor the other way round."""
+    place = _plain(staging)
+    for path in (paths.source, paths.target, paths.pending, paths.audit):
+        other = _plain(path)
+        if place.startswith(other) or other.startswith(place):
+            raise ConfigError(
+                f"the staging folder {staging} and {path} overlap; set spark.checkpoint.dir "
+                "to a folder outside all paths of the rule file"
+            )
+
+
+def _plain(path: str) -> str:
+    """A path for comparing: a local one with or without its scheme is the same."""
+    return "/" + re.sub(r"^file:/*", "", path).strip("/") + "/"

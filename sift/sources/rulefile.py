@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -19,6 +19,9 @@ LIST_KEYS = ("required_cols", "null_check", "dateformatchecks", "no_negative_val
 UNUSED_KEY = "duplicate_check"  # must be there, has no effect
 CAST_KEY = "cols_datatype"  # may be left out: Spark drops empty structs on reading
 
+# Fixed value: stands for all columns of the source in `required_cols`.
+ALL_COLUMNS = "*"
+
 # Fixed value: the column the reject ledger adds.
 REASON_COLUMN = "reject_reason"
 
@@ -87,10 +90,13 @@ class GateConfig:
             problems.append(f"the source has a column called {REASON_COLUMN!r}")
         for key in (*LIST_KEYS, CAST_KEY):
             for name in getattr(self, key):
+                if key == "required_cols" and name == ALL_COLUMNS:
+                    continue
                 if names.find(name, columns, case_sensitive) is None:
                     problems.append(f"{key!r} names unknown column {name!r}")
-        for key in ("required_cols", CAST_KEY):
-            for name in names.repeated(getattr(self, key), case_sensitive):
+        wanted = expand_all(self.required_cols, columns)
+        for key, listed in (("required_cols", wanted), (CAST_KEY, self.cols_datatype)):
+            for name in names.repeated(listed, case_sensitive):
                 problems.append(f"{key!r} names column {name!r} twice")
         for key, allowed, what in (
             ("no_negative_value", (*TEXT_TYPES, T.NumericType), "a number"),
@@ -102,14 +108,31 @@ class GateConfig:
                     kind = schema[at].dataType.simpleString()
                     problems.append(f"{key!r}: column {name!r} of type {kind} is not {what}")
         for name, type_name in self.cols_datatype.items():
-            try:
-                T.DataType.fromDDL(type_name)
-            except Exception:
+            if not _is_type_name(type_name):
                 problems.append(f"{CAST_KEY!r}: {type_name!r} for {name!r} is no type name")
         if problems:
             raise ConfigError("; ".join(problems))
 
 
+def expand_all(wanted: Sequence[str], columns: Sequence[str]) -> list[str]:
+    """The wanted columns with `*` replaced by all columns of the source."""
+    named = {name: "`" + name.replace("`", "``") + "`" for name in columns}
+    return [
+        name
+        for listed in wanted
+        for name in ([named[c] for c in columns] if listed == ALL_COLUMNS else [listed])
+    ]
+
+
+def _is_type_name(text: str) -> bool:
+    """Whether a cast takes it; a list of fields also parses, as a struct."""
+    try:
+        dtype = T.DataType.fromDDL(text)
+    except Exception:
+        return False
+    return not isinstance(dtype, T.StructType) or text.strip().lower().startswith("struct<")
+
+
 def _is_name_list(value: Any) -> bool:
     return isinstance(value, (list, tuple)) and all(isinstance(v, str) for v in value)
 

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from set_form import set_form
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -11,10 +12,8 @@ from pyspark.sql import functions as F
 from sift import GateConfig, plan_gate
 from sift.operators import audit, expand, rules, split
 from sift.operators.tally import tally
-from sift.plans.gate import FEW, LEDGER_ROWS_PER_TASK, SCATTERED, ledger_tasks
 from sift.plans.sizing import staging_settings
 from workload.dirty_orders import dirty_orders, orders_config
-from workload.set_form import set_form
 
 DUP, NULL, NEG, DATE = rules.DUPLICATE, rules.NULL, rules.NEGATIVE, rules.BAD_DATE
 
@@ -120,16 +119,17 @@ def test_branches_add_up_to_the_ledger(spark):
     assert multiset(split.unique_rows(gate.tally)) == Counter(set(rows))
 
 
-@pytest.mark.parametrize("tasks", [None, 0, 5])
-@pytest.mark.parametrize("chunk", [1, 7, expand.CHUNK])
-def test_hot_row(spark, monkeypatch, tasks, chunk):
-    """A row with 25,003 copies, for chunks smaller and larger than that."""
+@pytest.mark.parametrize("chunk", [7, expand.CHUNK])
+@pytest.mark.parametrize("hot", [1, 1000, 30_000])
+def test_hot_row(spark, monkeypatch, hot, chunk):
+    """A row with 25,003 copies, in place and in chunks smaller and larger than that."""
     monkeypatch.setattr(expand, "CHUNK", chunk)
+    monkeypatch.setattr(expand, "HOT", hot)
     source = spark.range(25_003).select(F.lit("1").alias("id"), F.lit(None).cast("string").alias("x"))
     t = tally(source, [rules.null_rule("x")])
-    ledger = split.reject_ledger(t, tasks=tasks).groupBy("reject_reason").count().collect()
+    ledger = split.reject_ledger(t).groupBy("reject_reason").count().collect()
     assert {r.reject_reason: r["count"] for r in ledger} == {DUP: 25_002, NULL: 1}
-    ranks = split.rank_duplicates(t, tasks=tasks).agg(
+    ranks = split.rank_duplicates(t).agg(
         F.count("*"), F.min("rn"), F.max("rn"), F.count_distinct("rn")
     )
     assert tuple(ranks.first()) == (25_003, 1, 25_003, 25_003)
@@ -138,11 +138,11 @@ def test_hot_row(spark, monkeypatch, tasks, chunk):
 def test_hot_row_is_dealt_out_to_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(expand, "CHUNK", 1_000)
     source = spark.range(1_000_000).select(F.lit("1").alias("id"))
-    ledger = split.reject_ledger(tally(source, []), tasks=16)
+    ledger = split.reject_ledger(tally(source, []))
     share = ledger.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(r["count"] for r in share) == 999_999
-    assert len(share) == 16
-    assert max(r["count"] for r in share) < 999_999 / 16 * 2
+    assert len(share) == 8
+    assert max(r["count"] for r in share) < 999_999 / 8 * 2
 
 
 def test_copies_collapse_before_the_shuffle(spark):
@@ -161,23 +161,6 @@ def test_rank_column_clash(spark):
     assert split.rank_duplicates(t, rank="no").columns == ["rn", "no"]
 
 
-@pytest.mark.parametrize(
-    "rejectcount, largest, splits, tasks",
-    [
-        (0, 0, 10, 0),
-        (10, 10, 8, 0),
-        (10, 10, SCATTERED + 1, 1),  # a small ledger over very many tasks
-        (LEDGER_ROWS_PER_TASK * 9, FEW, 8, 0),
-        (LEDGER_ROWS_PER_TASK * 9, FEW, SCATTERED * 9 + 1, 9),
-        (LEDGER_ROWS_PER_TASK * 9, FEW + 1, 8, 9),  # hot records
-        (LEDGER_ROWS_PER_TASK + 1, LEDGER_ROWS_PER_TASK + 1, 8, 2),
-    ],
-)
-def test_ledger_tasks(rejectcount, largest, splits, tasks):
-    metrics = {"rejectcount": rejectcount, "largest": largest}
-    assert ledger_tasks(metrics, splits) == tasks
-
-
 def test_typed_rows(spark):
     """Typed columns: numbers compare as they are, NaN and NULL are not negative."""
     source = spark.sql(
@@ -252,16 +235,36 @@ def test_accepted_plan(orders):
         assert costly not in plan
 
 
-def test_ledger_plan(orders):
-    plan = plan_text(orders.rejects(tasks=0))
+def final_plan(df):
+    """The plan that ran, the numbers of its nodes left out."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+
+
+@pytest.mark.parametrize("rows", [split.reject_ledger, split.duplicate_rows, split.rank_duplicates])
+def test_ledger_plan(orders, rows, monkeypatch):
+    """One scan and one full-row shuffle; only hot rows travel again."""
+    monkeypatch.setattr(expand, "HOT", 1)
+    plan = final_plan(rows(orders.tally))
+    assert plan.count("ReusedExchange") == 1
     assert plan.count("FileScan") == 1
-    assert plan.count("Exchange") == 1
-    dealt = plan_text(orders.rejects())
-    assert dealt.count("FileScan") == 1
-    assert dealt.count("Exchange") == 2
-    assert "REPARTITION_BY_NUM" in dealt
-    for costly in ("Window", "Union", "Join"):
-        assert costly not in dealt
+    assert plan.count("Exchange hashpartitioning(c0") == 2  # made once, named where it is reused
+    assert plan.count("REPARTITION_BY_NUM") == 1
+    dealt = plan[plan.index("REPARTITION_BY_NUM") :]
+    assert "> 1)" in dealt
+    for costly in ("Window", "Join", "Sort"):
+        assert costly not in plan
+
+
+def test_without_hot_rows_nothing_travels_twice(orders):
+    plan = final_plan(split.reject_ledger(orders.tally))
+    assert plan.count("FileScan") == 1
+    assert "REPARTITION_BY_NUM" not in plan
+
+
+def test_rule_rejects_need_no_second_exchange(orders):
+    plan = plan_text(split.rule_rejects(orders.tally, NULL))
+    assert (plan.count("FileScan"), plan.count("Exchange")) == (1, 1)
 
 
 def test_counts_plan(orders):
@@ -278,8 +281,8 @@ def test_staged_plans_need_no_shuffle(orders, tmp_path):
     assert "EqualTo(failed,0)" in accepted
     schema = accepted[accepted.index("ReadSchema") :]
     assert "c2" not in schema and "copies" not in schema  # not a required column
-    ledger = plan_text(staged.rejects(tasks=0))
-    assert "Exchange" not in ledger
+    ledger = plan_text(staged.rejects())
+    assert "Exchange hashpartitioning(c0" not in ledger
     partition_filters = ledger[ledger.index("PartitionFilters") :].split("PushedFilters")[0]
     assert "marked" in partition_filters
     assert multiset(staged.rejects()) == multiset(orders.rejects())

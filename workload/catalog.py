@@ -4,11 +4,14 @@ The SQL is written from the definitions (window, union of branches, set
 difference), the Spark side from the tally, so each checks the other.
 
 Queries about files write them to fresh paths in the shared scratch folder and
-leave them there, as the returned DataFrame reads them later.
+leave them there, as the returned DataFrame reads them later. What several of
+them read is written once per session and table.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from sift import load_config, plan_gate, run_gate
 from sift.functions import coerce
 from sift.operators import audit, rules, split
 from sift.operators.tally import Tally, failures_by_rule, tally
-from sift.plans.gate import Gate
+from sift.plans.gate import Gate, GateResult
 from sift.sources import paths, tables
 from sift.sources.rulefile import GateConfig
 from workload.dirty_orders import (
@@ -75,7 +78,8 @@ def config_rule_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules.BAD_DATE: "dateformatchecks",
     }
     configured = rules.configured_rules(config, source.schema)
-    return failures_by_rule(source, [(key_of[rule.reason], rule) for rule in configured])
+    labelled = [(key_of[rule.reason], rule) for rule in configured]
+    return failures_by_rule(tally(source, configured), labelled)
 
 
 def dated_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +170,12 @@ def accepted_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_gate(spark, sf_dir).accepted()
 
 
+def accepted_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`*` among the required columns stands for all of them."""
+    config = replace(orders_config(), required_cols=("*",))
+    return plan_gate(dirty_orders(spark, sf_dir), config).accepted()
+
+
 def gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_gate(spark, sf_dir).audit("orders").drop("loadtimestamp")
 
@@ -230,7 +240,18 @@ def sink_audit_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_csv(spark, path).drop("loadtimestamp")
 
 
-def _run_orders(spark: SparkSession, sf_dir: str):
+_RUNS: dict[tuple[str, str], GateResult] = {}
+
+
+def _run_orders(spark: SparkSession, sf_dir: str) -> GateResult:
+    """The whole job over a table; its three outputs are of one run."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _RUNS:
+        _RUNS[key] = _new_run(spark, sf_dir)
+    return _RUNS[key]
+
+
+def _new_run(spark: SparkSession, sf_dir: str) -> GateResult:
     root = fresh_root(spark, "gate")
     document = rule_document(root)
     tables.write_csv(
@@ -252,6 +273,22 @@ def gate_end_to_end_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_orders(spark, sf_dir).audit.drop("loadtimestamp")
 
 
+def faithful_reject_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rejected, written faithfully and read back as they were."""
+    root = fresh_root(spark, "faithful")
+    document = rule_document(root) | {
+        "required_cols": ["doc_id"],
+        "null_check": [],
+        "no_negative_value": [],
+        "dateformatchecks": ["lang"],
+        "cols_datatype": [],
+    }
+    write_rule_file(spark, document, f"{root}/rules/documents.json")
+    source = table(spark, sf_dir, "documents")
+    rules_at = f"{root}/rules/documents.json"
+    return run_gate(spark, rules_at, DATE, source=source, faithful_rejects=True).rejects
+
+
 # --- typed tables --------------------------------------------------------
 
 
@@ -296,12 +333,24 @@ _EVENTS = _typed_config(
 )
 
 
+_LINES = _typed_config(required_cols=("l_linestatus",))
+
+
 def hot_row_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.when(F.col("event_type") != "error", F.date_trunc("MONTH", "ts").cast("date"))
     source = table(spark, sf_dir, "events").select("event_type", day.alias("day"))
     return plan_gate(source, _EVENTS).rejects()
 
 
+def hot_line_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line once per unit of its quantity, by its status alone: rows with
+    far more copies than one chunk holds, counted after they are dealt out."""
+    units = F.sequence(F.lit(1), F.col("l_quantity").cast("int"))
+    source = table(spark, sf_dir, "lineitem").select(F.explode(units), "l_linestatus")
+    ledger = plan_gate(source.select("l_linestatus"), _LINES).rejects()
+    return ledger.groupBy("l_linestatus", "reject_reason").agg(F.count("*").alias("rows"))
+
+
 def document_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Surplus copies among the documents, whole texts compared."""
     source = table(spark, sf_dir, "documents").drop("doc_id")
@@ -393,6 +442,8 @@ ORACLES: dict[str, str] = {
     "accepted_rows": f"{_ACCEPTED} SELECT * FROM a",
     "accepted_cast": f"{_ACCEPTED} SELECT {_CASTS}, status, {_AMOUNT_AND_DATE}, priority FROM a",
     "accepted_projected": _PROJECTED,
+    "accepted_all_columns": f"{_ACCEPTED} SELECT {_CASTS}, status, {_AMOUNT_AND_DATE}, priority "
+    "FROM a",
     "gate_counts": f"{_ACCEPTED} SELECT 'orders' AS tablename, {_COUNTS}",
     "gate_reconcile": f"""{_ACCEPTED},
         f AS (SELECT greatest(count(*) - 1, 0) AS extra FROM ledger
@@ -414,6 +465,8 @@ ORACLES: dict[str, str] = {
     "gate_end_to_end": _PROJECTED,
     "gate_end_to_end_rejects": f"{_LEDGER} SELECT * FROM ledger",
     "gate_end_to_end_audit": f"{_ACCEPTED} SELECT 'orders' AS tablename, {_COUNTS}",
+    "faithful_reject_roundtrip": "SELECT *, 'Incorrect Dateformat' AS reject_reason "
+    "FROM documents",
     "typed_negative_customers": "SELECT DISTINCT *, 'Negative Value' AS reject_reason "
     "FROM customer WHERE c_acctbal < 0",
     "typed_gate_lineitem": f"""SELECT l_orderkey, l_linenumber, l_quantity,
@@ -430,6 +483,9 @@ ORACLES: dict[str, str] = {
         SELECT event_type, day, 'Duplicate record' AS reject_reason FROM r WHERE rn > 1
         UNION ALL
         SELECT event_type, day, 'Incorrect Dateformat' FROM r WHERE rn = 1 AND day IS NULL""",
+    "hot_line_ledger": """SELECT l_linestatus, 'Duplicate record' AS reject_reason,
+          CAST(sum(CAST(l_quantity AS integer)) AS bigint) - 1 AS "rows"
+        FROM lineitem GROUP BY l_linestatus""",
     "document_copies": """SELECT "text", lang, source, n_chars, 'Duplicate record' AS reject_reason
         FROM (SELECT *, row_number() OVER (PARTITION BY "text", lang, source, n_chars) AS rn
           FROM documents) WHERE rn > 1""",
@@ -456,6 +512,7 @@ QUERIES = {
         accepted_rows,
         accepted_cast,
         accepted_projected,
+        accepted_all_columns,
         gate_counts,
         gate_reconcile,
         text_to_integer,
@@ -465,10 +522,12 @@ QUERIES = {
         gate_end_to_end,
         gate_end_to_end_rejects,
         gate_end_to_end_audit,
+        faithful_reject_roundtrip,
         typed_negative_customers,
         typed_gate_lineitem,
         typed_gate_supplier,
         hot_row_ledger,
+        hot_line_ledger,
         document_copies,
     )
 }
