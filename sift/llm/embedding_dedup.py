@@ -96,8 +96,8 @@ def grid_blocks(classes: DataFrame, dim: int, axes: np.ndarray, epsilon: float)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, len(batch), BLOCK):
-                piece = batch.slice(at, BLOCK)
+            for at, end in block_bounds(np.stack([batch.column(c) for c in cells])):
+                piece = batch.slice(at, end - at)
                 unit = unit_rows(_matrix(piece.column("vector"), dim))
                 turned = unit @ axes
                 values = {
@@ -121,12 +121,29 @@ def grid_blocks(classes: DataFrame, dim: int, axes: np.ndarray, epsilon: float)
         .repartitionByRange(*cells, "first", "rep")
         .sortWithinPartitions(*cells, "first", "rep")
     )
-    blocks = stage(ordered.select("rep", "vector", "weight").mapInArrow(cut, block_schema), "grid")
+    blocks = stage(ordered.mapInArrow(cut, block_schema), "grid")
     number = Window.partitionBy().orderBy("part", "seq")  # one narrow row per block
     numbers = blocks.select("part", "seq", (F.row_number().over(number) - 1).alias("block"))
     return stage(blocks.join(numbers, ["part", "seq"]).drop("part", "seq"), "blocks")
 
 
+def block_bounds(cells: np.ndarray) -> list[tuple[int, int]]:
+    """Where to cut a sorted stretch: at most BLOCK vectors, and between two
+    cells rather than inside one if that leaves a quarter of a block."""
+    n = cells.shape[1]
+    changes = np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(axis=0)) + 1
+    bounds, at = [], 0
+    while at < n:
+        end = min(at + BLOCK, n)
+        if end < n:
+            last = np.searchsorted(changes, end, "right") - 1
+            if last >= 0 and changes[last] >= at + max(1, BLOCK // 4):
+                end = int(changes[last])
+        bounds.append((at, end))
+        at = end
+    return bounds
+
+
 def near_blocks(blocks: DataFrame, epsilon: float) -> DataFrame:
     """Pairs of blocks (p, q), p <= q, that may hold neighbours.
 

@@ -39,7 +39,8 @@ def test_equals_brute_force(spark, monkeypatch, block, side, fan, dim):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == by_hand(rows, 0.9)
 
 
-def test_distant_blocks_are_skipped(spark):
+def test_distant_blocks_are_skipped(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
     draw = np.random.default_rng(2)
     centres = np.linalg.qr(draw.normal(size=(32, 32)))[0][:8]
     rows = [(i, (centres[i // 600] + draw.normal(size=32) * 0.01).tolist(), 0) for i in range(4800)]
@@ -48,11 +49,18 @@ def test_distant_blocks_are_skipped(spark):
     axes = embedding_dedup.principal_axes(classes, 32)
     blocks = embedding_dedup.grid_blocks(classes, 32, axes, epsilon)
     n = blocks.count()
-    assert embedding_dedup.near_blocks(blocks, epsilon).count() < n * (n + 1) / 4
+    assert embedding_dedup.near_blocks(blocks, epsilon).count() < n * (n + 1) / 3
     got = near_vectors(table(spark, rows, SCHEMA)).collect()
     assert all(r.n_links == 599 and r.component_id == r.vec_id // 600 * 600 for r in got)
 
 
+def test_blocks_are_cut_between_cells(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 8)
+    cells = np.array([[0] * 5 + [1] * 20 + [2] * 3])
+    assert embedding_dedup.block_bounds(cells) == [(0, 5), (5, 13), (13, 21), (21, 28)]
+    assert embedding_dedup.block_bounds(np.zeros((1, 0))) == []
+
+
 def test_vectors_without_a_direction_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
