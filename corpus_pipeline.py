@@ -55,8 +55,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     coder = bpe.ByteBpe.from_file(
         spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
-    decoded = coder.decode(coder.encode(docs.select("doc_id", "text")))
-    return decoded.select(
+    coded = coder.encode(docs.select("doc_id", "text"), bytes_col="decoded")
+    return coded.select(
         "doc_id",
         "ids",
         F.size("ids").cast("bigint").alias("n_tokens"),

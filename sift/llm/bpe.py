@@ -143,29 +143,40 @@ class ByteBpe:
         with open(path, encoding="ascii") as lines:
             return cls(spark, read_ranks(lines.read().splitlines()), pattern)
 
-    def encode(self, df: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    def encode(
+        self,
+        df: DataFrame,
+        text_col: str = "text",
+        ids_col: str = "ids",
+        bytes_col: str | None = None,
+    ) -> DataFrame:
         """All columns of `df` and the token ids of each text.
 
-        A null text counts as empty and has no ids. No special tokens are
-        known; their strings are ordinary text.
+        With `bytes_col` the ids are decoded as well, in the same pass. A null
+        text counts as empty and has no ids. No special tokens are known; their
+        strings are ordinary text.
         """
-        if ids_col in df.columns:
-            raise ValueError(f"the table has a column {ids_col!r}; name another for the ids")
-        model, pattern = self.model, self.pattern
-        schema = T.StructType([*df.schema, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+        added = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+        if bytes_col:
+            added.append(T.StructField(bytes_col, T.BinaryType()))
+        if taken := sorted({f.name for f in added} & set(df.columns)):
+            raise ValueError(f"the table has columns {taken} already; name others")
+        model, tokens, pattern = self.model, self.tokens, self.pattern
+        schema = T.StructType([*df.schema, *added])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = _encoder(model.value, pattern)
+            known = pa.array(tokens.value, pa.large_binary()) if bytes_col else None
             for batch in batches:
                 for piece in slices(batch, text_col):
                     texts = piece.column(piece.schema.get_field_index(text_col)).to_pylist()
                     ids = encoder([t or "" for t in texts])
                     ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
                     flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                    column = pa.ListArray.from_arrays(pa.array(ends), flat)
-                    yield pa.RecordBatch.from_arrays(
-                        [*piece.columns, column], names=[*piece.schema.names, ids_col]
-                    )
+                    columns = [*piece.columns, pa.ListArray.from_arrays(pa.array(ends), flat)]
+                    if bytes_col:
+                        columns.append(pa.array(joined(columns[-1], known), pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         return df.mapInArrow(run, schema)
 

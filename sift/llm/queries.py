@@ -61,8 +61,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = coder.encode(docs).drop("text")
-    return coder.decode(encoded).select(
+    return coder.encode(docs, bytes_col="decoded").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         bpe.digest_of_ids("ids").alias("ids_sha256"),

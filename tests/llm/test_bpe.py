@@ -27,6 +27,8 @@ def test_equals_the_library_and_decodes(spark, library):
     docs = docs.union(table(spark, [(-i - 1, t) for i, t in enumerate(ODD)]))
     coder = ByteBpe.from_file(spark, PATH, public_tokenizers.PATTERN)
     coded = coder.decode(coder.encode(with_clashes(docs, "model", "tokens")))
+    once = coder.encode(docs, bytes_col="decoded").select("doc_id", "ids", "decoded")
+    assert sorted(map(str, once.collect())) == sorted(map(str, coded.select(once.columns).collect()))
     for r in coded.select("*", digest_of_ids().alias("sha")).collect():
         text = r.text or ""
         assert r.ids == library.encode_ordinary(text)
@@ -48,6 +50,8 @@ def test_odd_tables(spark):
     assert coder.decode(coder.encode(table(spark, []))).collect() == []
     with pytest.raises(ValueError):
         coder.encode(with_clashes(table(spark, []), "ids"))
+    with pytest.raises(ValueError):
+        coder.encode(table(spark, []), bytes_col="text")
     with pytest.raises(ValueError):
         coder.decode(with_clashes(table(spark, []), "decoded"))
     with pytest.raises(ValueError):
