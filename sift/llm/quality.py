@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sift.llm.common import stage
+from sift.llm.common import slices, stage
 
 # Buckets of the hashed features.
 SHAPE_BUCKETS, WORD_BUCKETS = 2**12, 2**18
@@ -399,17 +399,20 @@ def assess(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = WordBuckets()
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(batch.schema.get_field_index(text_col))]
-            quality = np.array([model.value.quality(t) for t in texts])
-            toxic = np.array([model.value.toxicity(t, buckets) for t in texts])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array(quality, pa.float64()),
-                    pa.array(toxic, pa.float64()),
-                    pa.array((quality >= GOOD_ENOUGH) & (toxic < TOO_TOXIC), pa.bool_()),
-                ],
-                names=schema.names,
-            )
+            for piece in slices(batch, text_col):
+                held = piece.column(piece.schema.get_field_index(text_col))
+                texts = [t or "" for t in held.to_pylist()]
+                quality = np.array([model.value.quality(t) for t in texts])
+                toxic = np.array([model.value.toxicity(t, buckets) for t in texts])
+                accepted = (quality >= GOOD_ENOUGH) & (toxic < TOO_TOXIC)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *piece.columns,
+                        pa.array(quality, pa.float64()),
+                        pa.array(toxic, pa.float64()),
+                        pa.array(accepted, pa.bool_()),
+                    ],
+                    names=schema.names,
+                )
 
     return docs.mapInArrow(run, schema)
