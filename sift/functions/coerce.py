@@ -18,9 +18,10 @@ DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 # Characters Spark trims from a number.
 _BLANK = r"[\x00-\x20\x7f]*"
-# A number with integer digits, and one that begins with its point.
-_NUMBER = rf"^{_BLANK}[+-]?[0-9]+(?:\.[0-9]*)?{_BLANK}$"
-_FRACTION = rf"^{_BLANK}[+-]?\.[0-9]*{_BLANK}$"
+# A number with integer digits, and one that begins with its point; up to the
+# very end, as `$` lets a line terminator follow, which Spark may not trim.
+_NUMBER = rf"^{_BLANK}[+-]?[0-9]+(?:\.[0-9]*)?{_BLANK}\z"
+_FRACTION = rf"^{_BLANK}[+-]?\.[0-9]*{_BLANK}\z"
 
 # The texts Spark reads as a boolean, in any case.
 _BOOLEAN = r"^[\x00-\x20\x7f]*(?i:t|true|y|yes|1|f|false|n|no|0)[\x00-\x20\x7f]*$"
@@ -48,7 +49,7 @@ def integer(text: Column, type_name: str = "int") -> Column:
         in_range = F.when(long.between(-limit, limit - 1), long.cast(type_name))
         number = number.when(F.length(whole) <= 18, in_range)
     number = number.otherwise(whole.try_cast(type_name))
-    plain = text.rlike(f"^[+-]?[0-9]{{1,{always_fits}}}$")
+    plain = text.rlike(f"^[+-]?[0-9]{{1,{always_fits}}}\\z")
     return (
         F.when(plain, text.cast(type_name))
         .when(text.rlike(_NUMBER), number)
