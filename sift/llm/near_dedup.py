@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from sift.llm.common import slices, stage
 from sift.llm.components import components
@@ -210,8 +211,8 @@ def central_members(shared: DataFrame) -> DataFrame:
     return best.select("key", F.col("best.doc_id").alias("head"))
 
 
-def own_shingles(texts: DataFrame, k: int) -> DataFrame:
-    """(doc_id, own): how many of a document's shingles no other of `texts` has."""
+def shingle_rows(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, shingle): the hashed sets of `texts` (doc_id, text), as rows."""
     schema = T.StructType([texts.schema["doc_id"], T.StructField("shingle", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,9 +232,30 @@ def own_shingles(texts: DataFrame, k: int) -> DataFrame:
                     names=schema.names,
                 )
 
-    found = texts.select("doc_id", "text").mapInArrow(run, schema)
-    once = found.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
-    return once.filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
+    return texts.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def rare_prefixes(texts: DataFrame, counts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(shingle, doc_id, n, place): of each document the rarest shingles, as far
+    as the first one that it shares with a similar document can be from the
+    rarest on. `counts` has doc_id and n. Shingles that no other document of
+    `texts` has come first and can't be shared, so they take places only.
+    """
+    rows = stage(shingle_rows(texts, k), "shingles")
+    several = rows.groupBy("shingle").agg(F.count("*").alias("documents"))
+    several = stage(several.filter("documents > 1"), "shared-shingles")
+    mine = Window.partitionBy("doc_id")
+    rank = F.row_number().over(mine.orderBy("documents", "shingle"))
+    placed = (
+        rows.join(several, "shingle")
+        .withColumn("rank", rank)
+        .withColumn("shared", F.count("*").over(mine))
+        .join(counts, "doc_id")
+        .withColumn("place", F.col("n") - F.col("shared") + F.col("rank") - 1)
+    )
+    return placed.filter(f"100 * (n - place) >= {percent} * n").select(
+        "shingle", "doc_id", "n", "place"
+    )
 
 
 def near_groups(
@@ -255,13 +277,12 @@ def near_groups(
     2. Leaders that agree in a band of registers are candidates. Each bucket
        first compares all its members with its most central one, which takes
        linear work and joins what belongs together in most buckets.
-    3. In a bucket that still holds several components, members outside the
-       largest component are compared with everything in other components
-       that they can be similar to: shingles that no other document of such
-       buckets has cannot be shared, which bounds the similarity from above.
-       After that any two members of a bucket are connected, compared, or
-       provably not similar, so no link among candidates is lost, however
-       large the bucket.
+    3. Where a bucket still holds several components, its members outside the
+       largest one are compared with documents of other components, if both
+       have one of their rarest shingles in common, near enough to the rarest
+       to leave room for the similarity. So any two members of a bucket are
+       connected, compared, or provably not similar: no link among candidates
+       is lost, however large the bucket.
 
     Candidates are dropped if the likelihood estimate is six deviations too
     low; the rest is confirmed on the sets of the whole texts.
@@ -327,8 +348,8 @@ def across_components(
     k: int,
     percent: int,
 ) -> DataFrame:
-    """Pairs of one bucket and different components that can be similar and
-    were not tried yet."""
+    """Pairs of documents that were candidates, are in different components, can
+    be similar, and were not tried yet."""
     of = found.withColumnRenamed("node", "doc_id")
     labelled = stage(
         shared.select("key", "doc_id")
@@ -343,35 +364,31 @@ def across_components(
     mixed = stage(
         mixed.filter("parts > 1").select("key", F.col("most.component").alias("main")), "mixed"
     )
-    members = stage(labelled.join(mixed, "key"), "members")
-    open_ = stage(members.select("doc_id").distinct(), "open")
-    own = own_shingles(texts.join(open_, "doc_id", "left_semi"), k)
-    counts = sketched.select("doc_id", F.col("n_shingles").alias("n"))
-    counts = stage(
-        open_.join(counts, "doc_id")
-        .join(own, "doc_id", "left")
-        .select("doc_id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("s")),
-        "shingle-counts",
-    )
-    # 100 * shared >= percent * (n_x + n_y - shared), and shared <= both s
-    members = stage(members.join(counts, "doc_id"), "counted")
-    least = stage(members.groupBy("key").agg(F.min("n").alias("least")), "least")
-    hopeful = members.join(least, "key").filter(
-        f"{100 + percent} * s >= {percent} * (n + least)"
+    members = stage(
+        labelled.join(mixed, "key")
+        .groupBy("doc_id", "component")
+        .agg(F.max(F.col("component") != F.col("main")).alias("outside")),
+        "members",
     )
-    hopeful = stage(hopeful.drop("least"), "hopeful")
-    few = hopeful.filter("component != main").select(
-        "key",
-        F.col("doc_id").alias("x"),
-        F.col("component").alias("x_component"),
-        F.col("n").alias("x_n"),
-        F.col("s").alias("x_s"),
+    open_ = members.select("doc_id")
+    counts = sketched.select("doc_id", F.col("n_shingles").alias("n"))
+    counts = stage(counts.join(open_, "doc_id", "left_semi"), "shingle-counts")
+    prefixes = rare_prefixes(texts.join(open_, "doc_id", "left_semi"), counts, k, percent)
+    prefixes = stage(prefixes.join(members, "doc_id"), "prefixes")
+    x = prefixes.filter("outside").select(
+        "shingle", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "place", "component")]
     )
+    # what two sets share begins with a common shingle, and only what follows
+    # it in either can be shared as well
     pairs = (
-        few.join(hopeful, "key")
-        .filter("component != x_component and (component = main or doc_id < x)")
-        .filter(f"{100 + percent} * least(s, x_s) >= {percent} * (n + x_n)")
-        .select(F.greatest("x", "doc_id").alias("a"), F.least("x", "doc_id").alias("b"))
+        x.join(prefixes, "shingle")
+        .filter("component != x_component and (not outside or doc_id < x_doc_id)")
+        .filter(
+            f"{100 + percent} * least(n - place, x_n - x_place) >= {percent} * (n + x_n)"
+        )
+        .select(
+            F.greatest("x_doc_id", "doc_id").alias("a"), F.least("x_doc_id", "doc_id").alias("b")
+        )
         .distinct()
     )
     return stage(pairs.join(tried, ["a", "b"], "left_anti"), "across")
