@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sift.llm.common import slices
+from sift.llm.common import bound_batches, slices
 
 # Pre-tokens whose ids a task remembers at most; then it starts anew.
 MEMORY = 200_000
@@ -161,6 +161,7 @@ class ByteBpe:
             added.append(T.StructField(bytes_col, T.BinaryType()))
         if taken := sorted({f.name for f in added} & set(df.columns)):
             raise ValueError(f"the table has columns {taken} already; name others")
+        bound_batches(df.sparkSession)
         model, tokens, pattern = self.model, self.tokens, self.pattern
         schema = T.StructType([*df.schema, *added])
 
@@ -184,6 +185,7 @@ class ByteBpe:
         """All columns of `df` and the bytes that each list of ids stands for."""
         if bytes_col in df.columns:
             raise ValueError(f"the table has a column {bytes_col!r}; name another for the bytes")
+        bound_batches(df.sparkSession)
         tokens = self.tokens
         schema = T.StructType([*df.schema, T.StructField(bytes_col, T.BinaryType())])
 

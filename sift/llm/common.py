@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
@@ -33,35 +32,27 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD_PATTERN)).cast("bigint")
 
 
-# Rows and bytes that travel to and from Python at once while a table is staged.
+# Rows and bytes that travel to and from Python at once.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 * 2**20
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
+def bound_batches(spark: SparkSession) -> None:
     """Keep what an executor holds outside the heap small while texts travel.
 
     Spark's own batches take up to 64 MB of texts, several times over on both
-    sides. The settings are only ever lowered, and put back afterwards.
+    sides. Only the session can set this, and a lazy result needs it when it
+    is used, so the session keeps the lower limits. Results don't depend on
+    them.
     """
     limits = {
         "spark.sql.execution.arrow.maxRecordsPerBatch": (BATCH_ROWS, 10_000),
         "spark.sql.execution.arrow.maxBytesPerBatch": (BATCH_BYTES, 64 * 2**20),
     }
-    before = {key: spark.conf.get(key, None) for key in limits}
     for key, (most, default) in limits.items():
-        held = before[key] or ""
+        held = spark.conf.get(key, None) or ""
         now = int(held) if held.isdigit() else default
-        if now <= 0 or now > most:
+        if not 0 < now <= most:
             spark.conf.set(key, most)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -70,9 +61,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, so that a lost executor costs a read and not the jobs
     before, and gives adaptive execution true sizes.
     """
+    bound_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
-    with small_batches(df.sparkSession):
-        df.write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
