@@ -39,6 +39,26 @@ def test_run_over_odd_rows(spark, tmp_path):
     assert all(r.doc_id is None and r.round_trip for r in got)
 
 
+def test_dedup_stages_keep_one_row_of_each_group(spark):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    near = [f"word{i}" for i in range(100)]
+    a, b = " ".join(near), " ".join(near + ["more"])
+    rows = [(7, "b"), (7, "c"), (9, "B"), (3, "d"), (3, "d"), (3, "d"), (None, "e"), (None, "e")]
+    rows += [(None, "f"), (2, "f"), (None, a), (None, a), (8, b), (5, "g"), (5, "h"), (None, "i"), (4, None), (6, "")]
+    docs = table(spark, [(i, t, "en", "s", 1) for i, t in rows], schema)
+    exact = corpus_pipeline.distinct_texts(spark, docs, "")
+    assert exact.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in exact.collect()), key=str)
+    want = [(7, "c"), (9, "B"), (3, "d"), (None, "e"), (2, "f"), (None, a), (8, b), (5, "g"), (5, "h"), (None, "i"), (6, "")]
+    assert got == sorted(want, key=str)
+    other = [f"other{i}" for i in range(100)]
+    x, y = " ".join(other), " ".join(other + ["more"])
+    rows = [(None, a), (None, a), (8, b), (5, "g"), (5, "h"), (1, x), (1, x), (1, "one"), (0, y), (None, "z z z"), (None, "z z z")]
+    docs = table(spark, [(i, t, "en", "s", 1) for i, t in rows], schema)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.distant_texts(spark, docs, "").collect()), key=str)
+    assert got == sorted([(8, b), (5, "g"), (5, "h"), (1, "one"), (0, y), (None, "z z z")], key=str)
+
+
 def test_run_over_an_empty_table(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     table(spark, [], schema).write.parquet(f"{tmp_path}/documents.parquet")
