@@ -240,18 +240,8 @@ def sink_audit_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_csv(spark, path).drop("loadtimestamp")
 
 
-_RUNS: dict[tuple[str, str], GateResult] = {}
-
-
 def _run_orders(spark: SparkSession, sf_dir: str) -> GateResult:
-    """The whole job over a table; its three outputs are of one run."""
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _RUNS:
-        _RUNS[key] = _new_run(spark, sf_dir)
-    return _RUNS[key]
-
-
-def _new_run(spark: SparkSession, sf_dir: str) -> GateResult:
+    """The whole job over a table, from a landing folder of its own."""
     root = fresh_root(spark, "gate")
     document = rule_document(root)
     tables.write_csv(
