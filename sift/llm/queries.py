@@ -14,6 +14,7 @@ from sift.llm import (
     embedding_dedup,
     exact_dedup,
     language,
+    merkle,
     mixing,
     near_dedup,
     passages,
@@ -221,3 +222,97 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.shared_passages(read_table(spark, sf_dir, "documents"))
+
+
+# CRC-32 of an id's decimal digits, bit by bit.
+CRC_OF_ID = """
+    xor(4294967295, list_reduce(
+        list_prepend(4294967295::bigint,
+                     list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+        lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+            lambda x, _: xor(x >> 1, 3988292384::bigint * (x & 1)))))
+"""
+
+
+@query(
+    f"""
+    with recursive given as (
+        select row_number() over () as r, doc_id, source, lang, n_chars, text,
+               case when {CRC_OF_ID} % 2 = 0 then replace(text, chr(10), '') else text end as now
+        from documents
+    ), spelled as (
+        select r, doc_id, source, text, now,
+               list_aggregate(list_transform([doc_id::varchar, source, lang, n_chars::varchar],
+                   lambda v: coalesce(strlen(v) || ':' || v, '-')), 'string_agg', '') as head
+        from given
+    ), leaves as (
+        select r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+               sha256(head || coalesce(strlen(now) || ':' || now, '-')) as tampered
+        from spelled
+    ), placed as (
+        select *, row_number() over (partition by source order by doc_id nulls first, leaf, r) - 1 as pos
+        from leaves
+    ), nodes as (
+        select 0 as level, source, pos, leaf as h, count(*) over (partition by source) as n
+        from placed
+        union all
+        select level + 1, source, pos // 3, sha256(string_agg(h, '' order by pos)), (n + 2) // 3
+        from nodes where n > 1 group by level, source, pos // 3, n
+    ), subroots as (
+        select source, h as subroot, row_number() over (order by source nulls first) - 1 as place
+        from nodes where n = 1
+    ), tops as (
+        select 0 as level, place, subroot as h, count(*) over () as n from subroots
+        union all
+        select level + 1, place // 3, sha256(string_agg(h, '' order by place)), (n + 2) // 3
+        from tops where n > 1 group by level, place // 3, n
+    ), paths as (
+        select p.r, x.level, x.pos as x_pos, p.pos // (3 ** x.level)::bigint as mine, x.h
+        from placed p join nodes x
+          on x.source is not distinct from p.source and x.n > 1
+         and x.pos // 3 = p.pos // (3 ** (x.level + 1))::bigint
+        union all
+        select p.r, 1000 + x.level, x.place, s.place // (3 ** x.level)::bigint, x.h
+        from placed p join subroots s on s.source is not distinct from p.source
+        join tops x on x.n > 1 and x.place // 3 = s.place // (3 ** (x.level + 1))::bigint
+    ), steps as (
+        select r, level, coalesce(string_agg(h, '' order by x_pos) filter (x_pos < mine), '') as before,
+               coalesce(string_agg(h, '' order by x_pos) filter (x_pos > mine), '') as after,
+               row_number() over (partition by r order by level) as step
+        from paths group by r, level
+    ), folded as (
+        select r, 0 as step, tampered as h from placed
+        union all
+        select f.r, f.step + 1, sha256(s.before || f.h || s.after)
+        from folded f join steps s on s.r = f.r and s.step = f.step + 1
+    ), proofs as (
+        select r, sha256(string_agg(before || after, '' order by step)) as proof_sha256, max(step) as last
+        from steps group by r
+    )
+    select p.doc_id, p.leaf, s.subroot, t.h as root,
+           coalesce(q.proof_sha256, sha256('')) as proof_sha256, f.h as folded_root,
+           f.h = t.h as verified
+    from placed p
+    join subroots s on s.source is not distinct from p.source
+    join (select h from tops where n = 1) t on true
+    left join proofs q on q.r = p.r
+    join folded f on f.r = p.r and f.step = coalesce(q.last, 0)
+    """
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    # rows whose id has an even checksum lose their line breaks after hashing
+    hit = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.col("text").contains("\n")
+    cut = merkle.leaf_digest(*map(F.col, fields[:-1]), F.replace("text", F.lit("\n"), F.lit("")))
+    made = merkle.merkle_manifest(docs, fields=fields, keep={"tampered": F.when(hit, cut)})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return made.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
