@@ -20,8 +20,9 @@ from sift.llm import (
     passages,
     quality,
     sharding,
+    vector_codes,
 )
-from sift.llm.common import read_table
+from sift.llm.common import read_table, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -316,3 +317,67 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
         folded.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def code_sql(rounds: int = 4) -> str:
+    """The rounds of op11 one after the other, every part against every entry."""
+    assign = """
+    distances{n} as (
+        select v.vec_id, v.part, e.entry, sum((v.x - e.x) * (v.x - e.x))::bigint as d
+        from x v join books{n} e on e.part = v.part and e.pos = v.pos
+        group by v.vec_id, v.part, e.entry
+    ), near{n} as (
+        select vec_id, part, min(d) as d, arg_min(entry, (d, entry)) as entry
+        from distances{n} group by vec_id, part
+    )"""
+    move = """
+    books{m} as (
+        select b.part, b.entry, b.pos, coalesce(s.x, b.x) as x
+        from books{n} b left join (
+            select a.part, a.entry, v.pos, floor(sum(v.x)::bigint / count(*))::bigint as x
+            from near{n} a join x v on v.vec_id = a.vec_id and v.part = a.part
+            group by a.part, a.entry, v.pos
+        ) s on s.part = b.part and s.entry = b.entry and s.pos = b.pos
+    )"""
+    steps = [(assign + "," + move).format(n=n, m=n + 1) for n in range(rounds)]
+    return f"""
+    with good as (
+        select vec_id, label, embedding from embeddings
+        where embedding is not null
+          and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+    ), x as materialized (
+        select vec_id, (i - 1) // (len(embedding) // 4) as part, (i - 1) % (len(embedding) // 4) as pos,
+               floor(1024 * embedding[i]::double)::bigint as x
+        from (select *, unnest(range(1, len(embedding) + 1)) as i from good)
+    ), books0 as (
+        select x.part, f.entry, x.pos, x.x
+        from x join (select vec_id, row_number() over (order by vec_id) - 1 as entry from good
+                     order by vec_id limit 256) f using (vec_id)
+    ), {", ".join(steps)}, {assign.format(n=rounds)}, codes as (
+        select vec_id, sum(d)::bigint as error,
+               string_agg(lower(printf('%02x', entry)), '' order by part) as code
+        from near{rounds} group by vec_id
+    ), digest as (
+        select sha256(string_agg(x::varchar, ',' order by part, entry, pos)) as codebooks_sha256
+        from books{rounds}
+    )
+    select c.vec_id, code, error, sum(error) over (partition by g.label)::bigint as label_error,
+           codebooks_sha256
+    from codes c join good g using (vec_id) cross join digest
+    """
+
+
+@query(code_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    coded, books = vector_codes.encode_vectors(vectors, keep=[F.col("label")])
+    coded = stage(coded, "codes")
+    totals = coded.groupBy("label").agg(F.sum("error").alias("label_error"))
+    totals = stage(totals.withColumnRenamed("label", "of"), "label-errors")
+    return coded.join(totals, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
