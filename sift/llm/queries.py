@@ -14,6 +14,7 @@ from sift.llm import (
     embedding_dedup,
     exact_dedup,
     language,
+    markov_lm,
     merkle,
     mixing,
     near_dedup,
@@ -381,3 +382,9 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label_error",
         F.lit(books.digest()).alias("codebooks_sha256"),
     )
+
+
+@query()
+def op13_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7
+    return markov_lm.score_documents(read_table(spark, sf_dir, "documents"), share != 2)

@@ -25,7 +25,7 @@ def duck():
 
 def test_all_are_registered():
     assert QUERIES.items() <= entry_points.queries().items()
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"op11", "op12"}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"op11", "op12", "op13"}
     assert "pipeline" in entry_points.queries()
 
 
