@@ -23,10 +23,12 @@ TOGETHER = 4096
 LARGEST = 2**62
 
 
-def squared(points: np.ndarray, point: np.ndarray) -> np.ndarray:
-    """Squared distances of integer points from one, as integers."""
-    apart = points - point
-    return np.einsum("ij,ij->i", apart, apart)
+def squared(points: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Squared distances between two sets of integer points, as integers."""
+    apart = points @ (-2 * others.T)
+    apart += np.einsum("ij,ij->i", points, points)[:, None]
+    apart += np.einsum("ij,ij->i", others, others)
+    return apart
 
 
 def floor_root(x: np.ndarray) -> np.ndarray:
@@ -37,9 +39,9 @@ def floor_root(x: np.ndarray) -> np.ndarray:
     return root
 
 
-@dataclass
+@dataclass(frozen=True)
 class Node:
-    """Split points, by number, and the points nearest to each as children.
+    """Split points, by rising number, and the points nearest to each as children.
 
     `low[i, j]` and `high[i, j]` bound the distances from split point i to
     split point j and all that is below it, rounded away from each other.
@@ -54,9 +56,10 @@ class Node:
 class Gnat:
     """Finds the nearest of integer points, of equally near ones the first.
 
-    A subtree is passed over only if its distance range leaves it strictly
-    farther away than the nearest point so far, with all roots rounded to the
-    safe side; what is left is compared by exact squared distances.
+    A subtree is passed over only if its distance ranges, to its own split
+    point and to the query's nearest one, leave it strictly farther away than
+    the nearest point so far, with all roots rounded to the safe side; what is
+    left is compared by exact squared distances.
     """
 
     def __init__(self, points: np.ndarray) -> None:
@@ -67,26 +70,21 @@ class Gnat:
     def _build(self, members: np.ndarray) -> Node:
         points = self.points[members]
         # each split point is the farthest from those before it
-        picks = [0]
-        apart = [squared(points, points[0])]
+        picks, nearest = [0], squared(points, points[:1])[:, 0]
         while len(picks) < min(DEGREE, len(members)):
-            nearest = np.min(apart, axis=0)
             nearest[picks] = -1
             picks.append(int(nearest.argmax()))
-            apart.append(squared(points, points[picks[-1]]))
-        distance = np.array(apart)  # split points by members
-        owner = distance.argmin(axis=0)
+            nearest = np.minimum(nearest, squared(points, points[picks[-1:]])[:, 0])
+        picks.sort()
+        distance = squared(points, points[picks])
+        owner = distance.argmin(axis=1)
         owner[picks] = np.arange(len(picks))
-        root = floor_root(distance)
-        low = np.empty((len(picks), len(picks)), np.int64)
-        high = np.empty_like(low)
-        children: list[Node | None] = []
-        for j, pick in enumerate(picks):
-            own = owner == j
-            low[:, j] = root[:, own].min(axis=1)
-            high[:, j] = root[:, own].max(axis=1) + 1
-            own[pick] = False
-            children.append(self._build(members[own]) if own.any() else None)
+        root = floor_root(distance).T  # split points by members
+        low = np.stack([root[:, owner == j].min(axis=1) for j in range(len(picks))], axis=1)
+        high = np.stack([root[:, owner == j].max(axis=1) + 1 for j in range(len(picks))], axis=1)
+        owner[picks] = -1
+        below = [members[owner == j] for j in range(len(picks))]
+        children = [self._build(part) if len(part) else None for part in below]
         return Node(members[picks], low, high, children)
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,39 +98,25 @@ class Gnat:
     def _visit(
         self, node: Node, rows: np.ndarray, queries: np.ndarray, best: np.ndarray, found: np.ndarray
     ) -> None:
-        n = len(node.splits)
-        open_ = np.ones((len(rows), n), bool)
-        roots = np.full((len(rows), n), -1, np.int64)
-        for i, number in enumerate(node.splits):
-            at = np.flatnonzero(open_[:, i])
-            if not len(at):
-                continue
-            mine = rows[at]
-            distance = squared(queries[mine], self.points[number])
-            self.compared += len(mine)
-            nearer = (distance < best[mine]) | ((distance == best[mine]) & (number < found[mine]))
-            best[mine[nearer]], found[mine[nearer]] = distance[nearer], number
-            roots[at, i] = floor_root(distance)
-            bound = floor_root(best[mine])[:, None] + 1
-            root = roots[at, i][:, None]
-            open_[at] &= (root - node.high[i] <= bound) & (node.low[i] - (root + 1) <= bound)
-        # the child of the nearest split point first: it leaves least of the others
-        nearest = np.where(roots < 0, LARGEST, roots).argmin(axis=1)
-        for first in (True, False):
-            for j, child in enumerate(node.children):
-                if child is None:
-                    continue
-                at = np.flatnonzero(open_[:, j] & ((nearest == j) == first))
-                at = at[self._possible(node, j, roots[at], best[rows[at]])]
-                if len(at):
-                    self._visit(child, rows[at], queries, best, found)
-
-    @staticmethod
-    def _possible(node: Node, j: int, roots: np.ndarray, best: np.ndarray) -> np.ndarray:
-        """Which queries may still have their nearest point below split point j."""
-        bound = floor_root(best)[:, None] + 1
-        far = (roots - node.high[:, j] > bound) | (node.low[:, j] - (roots + 1) > bound)
-        return ~(far & (roots >= 0)).any(axis=1)
+        distance = squared(queries[rows], self.points[node.splits])
+        self.compared += distance.size
+        near = distance.argmin(axis=1)
+        least, number = distance[np.arange(len(rows)), near], node.splits[near]
+        nearer = (least < best[rows]) | ((least == best[rows]) & (number < found[rows]))
+        best[rows[nearer]], found[rows[nearer]] = least[nearer], number[nearer]
+        if not any(node.children):
+            return
+        # below the nearest split point first: that leaves least of the others
+        for j, child in enumerate(node.children):
+            if child and len(at := np.flatnonzero(near == j)):
+                self._visit(child, rows[at], queries, best, found)
+        root = floor_root(distance)
+        bound = floor_root(best[rows])[:, None] + 1
+        far = root - node.high.diagonal() > bound
+        far |= node.low[near] - (floor_root(least)[:, None] + 1) > bound
+        for j, child in enumerate(node.children):
+            if child and len(at := np.flatnonzero(~far[:, j] & (near != j))):
+                self._visit(child, rows[at], queries, best, found)
 
 
 @dataclass(frozen=True)
