@@ -7,8 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-# Symbols of sequences that are worked on side by side.
-POOL = 2**19
+# Symbols of sequences that are put side by side, and that are worked on at once.
+POOL, BLOCK = 2**22, 2**16
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,10 @@ class Hmm:
     def states(self) -> int:
         return len(self.start)
 
+    def single(self) -> Hmm:
+        """The model in single precision."""
+        return Hmm(*(x.astype(np.float32) for x in (self.start, self.move, self.emit)))
+
 
 @dataclass
 class Counts:
@@ -34,7 +38,7 @@ class Counts:
 
     @classmethod
     def of(cls, model: Hmm) -> Counts:
-        return cls(*(np.zeros_like(x) for x in (model.start, model.move, model.emit)))
+        return cls(*(np.zeros(x.shape) for x in (model.start, model.move, model.emit)))
 
 
 @dataclass(frozen=True)
@@ -82,21 +86,18 @@ def forward(
     chances before it. Chances are scaled to one at every step, so nothing
     underflows however long a sequence is. `kept` takes them all.
     """
-    begin = steps[0][0]
-    scale = np.empty(len(seen))
+    begin, ones = steps[0][0], np.ones(model.states, seen.dtype)
+    scale = np.empty(len(seen), seen.dtype)
     for low, high in steps:
         low, high = low - begin, high - begin
         state = model.start if state is None else state[: high - low] @ model.move
-        state = state * seen[low:high]
-        total = state.sum(axis=1)
+        state = np.multiply(state, seen[low:high], out=None if kept is None else kept[low:high])
+        total = np.matmul(state, ones, out=scale[low:high])
         state /= total[:, None]
-        scale[low:high] = total
-        if kept is not None:
-            kept[low:high] = state
     return scale, state
 
 
-def log10_likelihood(model: Hmm, pool: Pool, size: int = POOL) -> np.ndarray:
+def log10_likelihood(model: Hmm, pool: Pool, size: int = BLOCK) -> np.ndarray:
     """Of each sequence, in the order they were given."""
     found, state = np.zeros(len(pool.order)), None
     for steps in pool.blocks(size):
@@ -110,20 +111,20 @@ def log10_likelihood(model: Hmm, pool: Pool, size: int = POOL) -> np.ndarray:
     return back
 
 
-def expect(model: Hmm, pool: Pool, counts: Counts, size: int = POOL) -> None:
+def expect(model: Hmm, pool: Pool, counts: Counts, size: int = BLOCK) -> None:
     """Add the expected counts of a pool's sequences.
 
-    Of a pool larger than `size`, like one very long sequence, the forward
-    pass keeps only the states between stretches, and is run again inside
-    each stretch when the backward pass comes to it.
+    The forward pass keeps only the states between stretches of `size`
+    symbols, and is run again inside each stretch when the backward pass comes
+    to it. So what a pool takes is bounded, and stays in the processor's cache.
     """
     blocks = pool.blocks(size)
     entering: list[np.ndarray | None] = [None]
     for steps in blocks[:-1]:
         seen = model.emit[pool.symbols[steps[0][0] : steps[-1][1]]]
-        entering.append(forward(model, seen, steps, entering[-1])[1])
+        entering.append(forward(model, seen, steps, entering[-1])[1].copy())
     back = np.ascontiguousarray(model.move.T)
-    moves = np.zeros_like(model.move)
+    moves = np.zeros_like(counts.move)
     after = None
     for steps, state in zip(reversed(blocks), reversed(entering), strict=False):
         begin, end = steps[0][0], steps[-1][1]
@@ -142,10 +143,13 @@ def expect(model: Hmm, pool: Pool, counts: Counts, size: int = POOL) -> None:
                 here[:going] *= likely
             after = here
         # one symbol's places lie side by side, so that each sum is a stretch
-        order = np.argsort(pool.symbols[begin:end], kind="stable")
-        symbols = pool.symbols[begin:end][order]
+        packed = pool.symbols[begin:end] * np.int64(2**32)
+        packed += np.arange(end - begin)
+        packed.sort()
+        symbols = packed >> 32
         first = np.flatnonzero(np.diff(symbols, prepend=-1))
-        counts.emit[symbols[first]] += np.add.reduceat(chances[order], first, axis=0)
+        sums = np.add.reduceat(chances[packed & (2**32 - 1)], first, axis=0)
+        counts.emit[symbols[first]] += sums
         if begin == 0:
             counts.start += chances[: steps[0][1]].sum(axis=0)
     counts.move += moves * model.move

@@ -9,6 +9,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from sift.llm.shingles import split_words
 COMMON = 2**20
 # Longer words are known by their digest, behind a byte that no text has.
 LONGEST, DIGEST = 64, b"\xff"
-# Different words that a task counts, or remembers, before it starts anew.
+# Different words that a task counts before it starts anew.
 MEMORY = 200_000
 # The symbol of the end; those of common words follow, then those of shapes.
 END = 0
@@ -32,20 +33,45 @@ LETTERS, BANDS, MARKS = 64, (3, 5, 8, 13), ".,;:!?&#$%*@|\"'()[]{}<>-_/\\=+~^`"
 SHAPES = 1 + (LETTERS + 2) * (len(BANDS) + 1) * 2
 
 
-def word_key(word: bytes) -> bytes:
-    return word if len(word) <= LONGEST else DIGEST + blake2b(word, digest_size=16).digest()
-
-
-def word_shape(key: bytes) -> int:
-    """A number below SHAPES that depends on the look of a word alone."""
-    if key[:1] == DIGEST:
-        return 0
-    text = key.decode("utf-8", "replace")
-    core = text.rstrip(MARKS)
-    last = core[-1:]
-    kind = 0 if not last else 1 if last.isdigit() else 2 + ord(last) % LETTERS
-    band = sum(len(text) >= least for least in BANDS)
-    return 1 + (kind * (len(BANDS) + 1) + band) * 2 + (core != text)
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of texts (A-Z in lower case, null as empty), one after the
+    other, and where each text's begin and end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, bounds = lists.flatten(), lists.offsets.to_numpy()
+    full = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # blanks at the ends
+    if not full.all():
+        bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
+        words = words.filter(pa.array(full))
+    return words, bounds
+
+
+def word_keys(words: pa.Array) -> pa.Array:
+    """Words as bytes, long ones as digests."""
+    keys = words.cast(pa.binary())
+    long = np.flatnonzero(pc.binary_length(keys).to_numpy(zero_copy_only=False) > LONGEST)
+    if not len(long):
+        return keys
+    digests = [DIGEST + blake2b(keys[at].as_py(), digest_size=16).digest() for at in long.tolist()]
+    mask = np.zeros(len(keys), bool)
+    mask[long] = True
+    return pc.replace_with_mask(keys, pa.array(mask), pa.array(digests, pa.binary()))
+
+
+def word_shapes(keys: pa.Array) -> np.ndarray:
+    """For each key a number below SHAPES that depends on the word's look alone."""
+    short = pc.invert(pc.starts_with(keys, DIGEST))
+    text = pc.if_else(short, keys, b"").cast(pa.string())
+    core = pc.utf8_rtrim(text, MARKS)
+    last = pc.utf8_slice_codeunits(core, -1).dictionary_encode()
+    kinds = np.array(
+        [0 if not c else 1 if c.isdigit() else 2 + ord(c) % LETTERS for c in last.dictionary.to_pylist()],
+        np.int32,
+    )
+    kind = kinds[last.indices.to_numpy()]
+    band = np.searchsorted(BANDS, pc.utf8_length(text).to_numpy(), "right")
+    marked = pc.not_equal(core, text).to_numpy(zero_copy_only=False)
+    shape = 1 + (kind * (len(BANDS) + 1) + band) * 2 + marked
+    return np.where(short.to_numpy(zero_copy_only=False), shape, 0).astype(np.int32)
 
 
 @dataclass(frozen=True)
@@ -91,7 +117,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     )
 
     def flush(found: Counter) -> pa.RecordBatch:
-        keys = pa.array([word_key(w) for w in found], pa.binary())
+        keys = word_keys(pa.array(found.keys(), pa.binary()))
         counts = pa.array(list(found.values()), pa.int64())
         return pa.RecordBatch.from_arrays([keys, counts], names=schema.names)
 
@@ -116,7 +142,7 @@ def shape_totals(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, types = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
         for batch in batches:
-            shapes = [word_shape(w.as_py()) for w in batch.column("word")]
+            shapes = word_shapes(batch.column("word"))
             np.add.at(tokens, shapes, batch.column("n").to_numpy())
             np.add.at(types, shapes, 1)
         at = np.flatnonzero(types)
@@ -150,29 +176,6 @@ def lexicon(texts: DataFrame) -> Lexicon:
     )
 
 
-class Symbols(dict):
-    """Symbols of words; those of rare words are worked out and remembered."""
-
-    def __init__(self, common: list[bytes]) -> None:
-        self.common = {word: 1 + at for at, word in enumerate(common)}
-        super().__init__(self.common)
-
-    def __missing__(self, word: bytes) -> int:
-        key = word_key(word)
-        found = self.common.get(key)
-        if found is None:
-            found = 1 + len(self.common) + word_shape(key)
-        self[word] = found
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > len(self.common) + MEMORY:
-            self.clear()
-            self.update(self.common)
-        numbers = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        return np.append(numbers, np.int32(END))
-
-
 def encode(rows: DataFrame, held: Lexicon) -> DataFrame:
     """`rows` (row, doc_id, held_out, text) with the texts as symbols.
 
@@ -180,14 +183,9 @@ def encode(rows: DataFrame, held: Lexicon) -> DataFrame:
     common words and the end), `symbols`, and the text's `rare` words, which
     have yet to be looked up.
     """
-    rare_type = T.ArrayType(T.StructType.fromDDL("word binary, n bigint"))
-    added = [
-        T.StructField("n_tokens", T.LongType()),
-        T.StructField("known", T.LongType()),
-        T.StructField("weight", T.DoubleType()),
-        T.StructField("symbols", T.BinaryType()),
-        T.StructField("rare", rare_type),
-    ]
+    added = T.StructType.fromDDL(
+        "n_tokens bigint, known bigint, weight double, symbols binary, rare array<binary>"
+    )
     names = [c for c in rows.columns if c != "text"]
     schema = T.StructType([*(rows.schema[c] for c in names), *added])
     spark = rows.sparkSession
@@ -195,30 +193,29 @@ def encode(rows: DataFrame, held: Lexicon) -> DataFrame:
     ends = held.ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, logs = shared.value
-        symbols = Symbols(common)
-        for batch in (piece for b in batches for piece in slices(b, "text")):
-            values: list[list] = [[], [], [], []]
-            offsets, rare, times = [0], [], []
-            for text in batch.column("text"):
-                words = split_words(text.as_py())
-                numbers = symbols.of(words)
-                unusual = np.flatnonzero(numbers > len(common))
-                mine = Counter(word_key(words[at]) for at in unusual.tolist())
-                rare += mine.keys()
-                times += mine.values()
-                offsets.append(len(rare))
-                known = len(numbers) - len(unusual) - (ends == 0)
-                found = (len(numbers), known, float(logs[numbers].sum()), numbers.tobytes())
-                for column, value in zip(values, found, strict=True):
-                    column.append(value)
-            words_ = pa.StructArray.from_arrays(
-                [pa.array(rare, pa.binary()), pa.array(times, pa.int64())], names=["word", "n"]
-            )
+        words_, logs = shared.value
+        common = pa.array(words_, pa.binary())
+        for batch in (piece for b in batches for piece in slices(b, "text", 2**23)):
+            words, bounds = split_texts(batch.column("text"))
+            keys = word_keys(words)
+            number = pc.index_in(keys, value_set=common).fill_null(-1).to_numpy() + 1
+            unusual = np.flatnonzero(number == 0)
+            rare = keys.take(pa.array(unusual))
+            number[unusual] = 1 + len(common) + word_shapes(rare)
+            # an end after each text's words
+            numbers = np.insert(number, bounds[1:], END).astype(np.int32)
+            bounds = bounds + np.arange(len(bounds))
+            usual = (numbers <= len(common)) & ((numbers != END) | (ends > 0))
+            held_by = np.searchsorted(unusual, (bounds - np.arange(len(bounds))))
             columns = [
                 *(batch.column(c) for c in names),
-                *(pa.array(v, t) for v, t in zip(values, (pa.int64(), pa.int64(), pa.float64(), pa.binary()), strict=True)),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words_),
+                pa.array(np.diff(bounds)),
+                pa.array(np.add.reduceat(usual, bounds[:-1], dtype=np.int64)),
+                pa.array(np.add.reduceat(logs[numbers], bounds[:-1])),
+                pa.BinaryArray.from_buffers(
+                    pa.binary(), len(batch), [None, pa.py_buffer((4 * bounds).astype(np.int32)), pa.py_buffer(numbers)]
+                ),
+                pa.ListArray.from_arrays(pa.array(held_by.astype(np.int32)), rare),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -240,7 +237,7 @@ def expected_counts(encoded: DataFrame, model: Hmm) -> Counts:
     schema = T.StructType(
         [T.StructField("symbol", T.IntegerType()), *(T.StructField(c, T.FloatType()) for c in names)]
     )
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    shared = encoded.sparkSession.sparkContext.broadcast(model.single())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = shared.value
@@ -304,15 +301,15 @@ def chain_scores(encoded: DataFrame, held: Lexicon, model: Hmm) -> DataFrame:
 def rare_words(encoded: DataFrame, held: Lexicon) -> DataFrame:
     """(row, rare_known, rare_weight) of texts with rare words: how many of them
     the training texts have, and the sum of log10(count + 1)."""
-    looked = encoded.select("row", F.inline("rare")).withColumnRenamed("n", "times")
+    looked = encoded.select("row", F.explode("rare").alias("word"))
     counts = held.words.filter(held.is_rare())
     count = F.coalesce("n", F.lit(0))
     return (
         looked.join(counts, "word", "left")
         .groupBy("row")
         .agg(
-            F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-            F.sum(F.col("times") * F.log10(count + 1)).alias("rare_weight"),
+            F.count_if(count > 0).alias("rare_known"),
+            F.sum(F.log10(count + 1)).alias("rare_weight"),
         )
     )
 

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SF_DIR, table, with_clashes
 from pyspark.sql import functions as F
@@ -9,7 +10,23 @@ from pyspark.sql import functions as F
 from sift.llm import hmm, markov_lm
 from sift.llm.common import read_table
 from sift.llm.hmm import Counts, Hmm, Pool
-from sift.llm.markov_lm import score_documents, word_key, word_shape
+from sift.llm.markov_lm import score_documents, split_texts, word_keys, word_shapes
+
+
+def word_key(word: bytes) -> bytes:
+    return word_keys(pa.array([word], pa.binary()))[0].as_py()
+
+
+def word_shape(key: bytes) -> int:
+    """The definition, for one word."""
+    if key[:1] == markov_lm.DIGEST:
+        return 0
+    text = key.decode()
+    core = text.rstrip(markov_lm.MARKS)
+    last = core[-1:]
+    kind = 0 if not last else 1 if last.isdigit() else 2 + ord(last) % markov_lm.LETTERS
+    band = sum(len(text) >= least for least in markov_lm.BANDS)
+    return 1 + (kind * (len(markov_lm.BANDS) + 1) + band) * 2 + (core != text)
 
 
 def plain_expectation(model: Hmm, symbols) -> tuple:
@@ -172,11 +189,20 @@ def test_odd_rows_and_empty_tables(spark):
     assert sorted((r.n_tokens, r.n_known) for r in made) == [(2, 2), (3, 3), (200_001, 200_001)]
 
 
-def test_shapes_are_bounded():
-    words = ["", "a", "é", "été,", "12", "x9%", "***", "漢字", "w" * 64, "🙂!"]
-    found = [word_shape(word_key(w.encode())) for w in words] + [word_shape(bytes([0xC3]))]
-    assert all(0 < s < markov_lm.SHAPES for s in found)
-    assert word_shape(word_key(b"w" * 65)) == 0 and len(word_key(b"w" * 65)) < 64
+def test_shapes():
+    words = ["", "a", "é", "été,", "12", "x9%", "***", "漢字", "w" * 64, "🙂!", "w" * 65, "ab..", "%", "७"]
+    keys = word_keys(pa.array([w.encode() for w in words], pa.binary()))
+    found = word_shapes(keys)
+    assert found.tolist() == [word_shape(k) for k in keys.to_pylist()]
+    assert found.min() == 0 and found.max() < markov_lm.SHAPES
+    assert len(keys[10].as_py()) == 17 and keys[8].as_py() == b"w" * 64
+
+
+def test_texts_are_split_at_ascii_blanks_only():
+    texts = [" A\tb\n\n", None, "", "É\u00a0é\x1fx \x0b\x0c\r y", "  "]
+    words, bounds = split_texts(pa.array(texts))
+    split = [words.to_pylist()[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert split == [["a", "b"], [], [], ["É\u00a0é\x1fx", "y"], []]
 
 
 def test_predicts_unseen_texts_better_than_independent_words(spark):
