@@ -1,7 +1,7 @@
 """sift: a data-quality gate for batch tables on Spark."""
 
-from sift.plans.gate import Gate, GateResult, plan_gate, run_gate
-from sift.sources.rulefile import ConfigError, GateConfig, load_config
+from sift.plans.gate import Gate, GateResult, plan_gate, run_folder, run_gate
+from sift.sources.rulefile import ConfigError, GateConfig, load_config, load_folder
 
 __all__ = [
     "ConfigError",
@@ -9,6 +9,8 @@ __all__ = [
     "GateConfig",
     "GateResult",
     "load_config",
+    "load_folder",
     "plan_gate",
+    "run_folder",
     "run_gate",
 ]

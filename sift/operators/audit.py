@@ -23,14 +23,19 @@ def counts(t: Tally) -> DataFrame:
     than one rule: source = reject + written - overlap. `largest` is the most
     ledger rows any one distinct row has.
     """
-    return t.frame.agg(
-        _total(F.col(COPIES)).alias("sourcecount"),
-        F.count(F.lit(1)).alias("uniquecount"),
-        _total(ledger_rows_per_row()).alias("rejectcount"),
-        F.count_if(F.col(FAILED) == 0).alias("writtencount"),
-        _total(F.greatest(F.col(FAILED) - 1, F.lit(0))).alias("overlap"),
-        F.coalesce(F.max(ledger_rows_per_row()), F.lit(0).cast("bigint")).alias("largest"),
-    )
+    return t.frame.agg(*(column.alias(name) for name, column in count_columns().items()))
+
+
+def count_columns() -> dict[str, Column]:
+    """The aggregates over a tally that `counts` gives."""
+    return {
+        "sourcecount": _total(F.col(COPIES)),
+        "uniquecount": F.count(F.lit(1)),
+        "rejectcount": _total(ledger_rows_per_row()),
+        "writtencount": F.count_if(F.col(FAILED) == 0),
+        "overlap": _total(F.greatest(F.col(FAILED) - 1, F.lit(0))),
+        "largest": F.coalesce(F.max(ledger_rows_per_row()), F.lit(0).cast("bigint")),
+    }
 
 
 def reason_counts(t: Tally) -> DataFrame:

@@ -19,6 +19,19 @@ NULL = "Null Record"
 NEGATIVE = "Negative Value"
 BAD_DATE = "Incorrect Dateformat"
 
+# Reasons of checks beyond the rule file's own.
+MALFORMED = "Malformed record"
+REPEATED_KEY = "Duplicate key"
+
+# The rule file's key, or the option, behind each reason.
+CHECKS = {
+    NULL: "null_check",
+    NEGATIVE: "no_negative_value",
+    BAD_DATE: "dateformatchecks",
+    MALFORMED: "malformed",
+    REPEATED_KEY: "duplicate_check",
+}
+
 SEMANTICS = ("legacy", "exact")
 
 
@@ -35,6 +48,11 @@ class Rule:
         return F.coalesce(self.test(value), F.lit(False))
 
 
+def malformed_rule(column: str) -> Rule:
+    """`column` holds the line of a record that doesn't fit the header, else NULL."""
+    return Rule(MALFORMED, column, lambda value: value.isNotNull())
+
+
 def null_rule(column: str) -> Rule:
     return Rule(NULL, column, lambda value: value.isNull())
 

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sift.operators.expand import repeat_rows
-from sift.operators.rules import DUPLICATE
+from sift.operators.rules import CHECKS, DUPLICATE
 from sift.operators.tally import COPIES, FAILED, Tally
-from sift.sources.rulefile import REASON_COLUMN
+from sift.sources.rulefile import CHECK_COLUMN, CHECKED_COLUMN, REASON_COLUMN
 
 _ORDINAL = "_ordinal"
 
@@ -49,6 +49,39 @@ def reject_ledger(t: Tally) -> DataFrame:
     return rows.select(*t.source_columns(), reason.alias(REASON_COLUMN))
 
 
+def explained_ledger(t: Tally) -> DataFrame:
+    """The ledger with the check and the column behind each failure, both NULL
+    for surplus copies. The tally must tell failures apart by rule."""
+    if not t.by_rule:
+        raise ValueError("this tally doesn't tell failures apart by rule")
+    labels = F.array(
+        F.struct(
+            F.lit(DUPLICATE).alias("reason"),
+            F.lit(None).cast("string").alias("check"),
+            F.lit(None).cast("string").alias("column"),
+        ),
+        *(
+            F.struct(
+                F.lit(reason).alias("reason"),
+                F.lit(CHECKS[reason]).alias("check"),
+                F.lit(column).alias("column"),
+            )
+            for reason, column in t.rules
+        ),
+    )
+    rows = repeat_rows(t.ledger_frame(), ledger_rows_per_row(), _ORDINAL)
+    # the copies come first, then the failed rules in their order
+    nth = (F.col(_ORDINAL) - surplus()).cast("int")
+    failed = F.try_element_at(t.failed_rules(), F.greatest(nth, F.lit(1)))
+    label = F.element_at(labels, F.when(nth > 0, failed + 2).otherwise(1))
+    return rows.withColumn("_label", label).select(
+        *t.source_columns(),
+        F.col("_label.reason").alias(REASON_COLUMN),
+        F.col("_label.check").alias(CHECK_COLUMN),
+        F.col("_label.column").alias(CHECKED_COLUMN),
+    )
+
+
 def duplicate_rows(t: Tally) -> DataFrame:
     """The surplus copies, tagged."""
     return _tagged(t, surplus(), DUPLICATE, hot=True)

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sift.functions import names
 from sift.functions.coerce import DATE_TYPES, TEXT_TYPES
-from sift.sources.paths import GatePaths, dated
+from sift.sources.paths import GatePaths, dated, table_name_column
 
 # The keys of the rule file.
 PATH_KEYS = ("sourcefile", "targetfile", "pendingfile", "auditfile")
@@ -25,6 +26,9 @@ ALL_COLUMNS = "*"
 # Fixed value: the column the reject ledger adds.
 REASON_COLUMN = "reject_reason"
 
+# What an explained ledger adds to it: the check that failed, and its column.
+CHECK_COLUMN, CHECKED_COLUMN = "reject_check", "reject_column"
+
 
 class ConfigError(ValueError):
     """The rule file does not fit its contract or the source table."""
@@ -163,3 +167,41 @@ def load_config(spark: SparkSession, path: str, *, strict: bool = True) -> GateC
     if first is None:
         raise ConfigError(f"no rule document in {path}")
     return GateConfig.from_mapping(first.asDict(recursive=True), strict=strict)
+
+
+def load_folder(spark: SparkSession, folder: str, *, strict: bool = True) -> dict[str, GateConfig]:
+    """The rule files (`*.json`) of a folder, by the table that each file names.
+
+    One scan reads them all, each as one value beside the path it came from;
+    a schema for all of them at once would mix their keys. Of a top-level
+    array the first document counts. Problems of all files come in one error.
+    """
+    path = F.col("_metadata.file_path")
+    files = (
+        spark.read.option("pathGlobFilter", "*.json")
+        .text(folder, wholetext=True)
+        .select(
+            path.alias("path"),
+            table_name_column(F.col("_metadata.file_name")).alias("table"),
+            F.try_parse_json("value").alias("document"),
+        )
+        .orderBy("path")
+        .collect()
+    )
+    found: dict[str, GateConfig] = {}
+    problems = [] if files else [f"no rule files in {folder}"]
+    for file in files:
+        document = file.document.toPython() if file.document is not None else None
+        if isinstance(document, list):
+            document = document[0] if document else None
+        try:
+            if not isinstance(document, Mapping):
+                raise ConfigError("no rule document")
+            if file.table in found:
+                raise ConfigError(f"a second file for table {file.table!r}")
+            found[file.table] = GateConfig.from_mapping(document, strict=strict)
+        except ConfigError as problem:
+            problems.append(f"{file.path}: {problem}")
+    if problems:
+        raise ConfigError("; ".join(problems))
+    return found

@@ -55,15 +55,22 @@ def read_csv(
     header: bool = True,
     schema: T.StructType | None = None,
     faithful: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
     """CSV as text columns, named by the header or `_c0`, `_c1`, ...
 
     No type inference, so the files are read once and every value keeps its
-    spelling. A given schema saves the look at the first line.
+    spelling. A given schema saves the look at the first line. Short lines are
+    padded with NULL and surplus fields dropped; `malformed` names one more
+    column that holds the whole line where that was done, else NULL.
     """
     reader = spark.read.option("header", header)
     if faithful:
         reader = reader.options(**_FAITHFUL)
+    if malformed is not None:
+        schema = schema or reader.csv(path).schema
+        schema = T.StructType([*schema, T.StructField(malformed, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
     if schema is not None:
         reader = reader.schema(schema)
     rows = reader.csv(path)

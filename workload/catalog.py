@@ -4,24 +4,26 @@ The SQL is written from the definitions (window, union of branches, set
 difference), the Spark side from the tally, so each checks the other.
 
 Queries about files write them to fresh paths in the shared scratch folder and
-leave them there, as the returned DataFrame reads them later. What several of
-them read is written once per session and table.
+leave them there, as the returned DataFrame reads them later.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sift import load_config, plan_gate, run_gate
+from sift import load_config, plan_gate, run_folder, run_gate
 from sift.functions import coerce
 from sift.operators import audit, rules, split
 from sift.operators.tally import Tally, failures_by_rule, tally
 from sift.plans.gate import Gate, GateResult
-from sift.sources import paths, tables
-from sift.sources.rulefile import GateConfig
+from sift.sources import paths, publish, tables
+from sift.sources.rulefile import PATH_KEYS, GateConfig
 from workload.dirty_orders import (
     COLUMNS,
     DIRTY_SQL,
@@ -279,6 +281,85 @@ def faithful_reject_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_gate(spark, rules_at, DATE, source=source, faithful_rejects=True).rejects
 
 
+def rule_folder_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule file of a folder run; the audits of all tables."""
+    root = fresh_root(spark, "folder")
+    orders = rule_document(root)
+    tables.write_csv(dirty_orders(spark, sf_dir), paths.dated(orders["sourcefile"], DATE))
+    publish.write_text(spark, f"{root}/rules/orders.v2.json", json.dumps(orders))
+    typed = {"customer": _CUSTOMER, "supplier": _SUPPLIER}
+    for name, config in typed.items():
+        document = {
+            key: list(value) if isinstance(value, tuple) else value
+            for key, value in vars(config).items()
+            if key != "cols_datatype"
+        }
+        places = {key: f"{root}/{key}/{name}/" for key in PATH_KEYS}
+        casts = [dict(config.cols_datatype)] if config.cols_datatype else []
+        text = json.dumps([document | places | {"duplicate_check": [], "cols_datatype": casts}])
+        publish.write_text(spark, f"{root}/rules/{name}.json", text)
+    sources = {name: table(spark, sf_dir, name) for name in typed}
+    results = run_folder(spark, f"{root}/rules", DATE, sources=sources)
+    audits = [result.audit.drop("loadtimestamp") for result in results.values()]
+    return reduce(DataFrame.unionByName, audits)
+
+
+# --- malformed lines, keys, explained rejects, lost values ---------------
+
+
+def malformed_line_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a field too few or too many among the orders."""
+    path = fresh_root(spark, "lines")
+    number = F.col("order_id").cast("bigint")
+    fields = [F.coalesce(c, F.lit("")) for c in COLUMNS]
+    line = (
+        F.when(number % 37 == 0, F.concat_ws(",", *fields[:-1]))
+        .when(number % 43 == 0, F.concat_ws(",", *fields, F.lit("surplus")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    dirty_orders(spark, sf_dir).select(line).write.text(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS])
+    source = tables.read_csv(spark, path, header=False, schema=schema, malformed="malformed_line")
+    return plan_gate(source, orders_config(), malformed="malformed_line").rejects()
+
+
+def _latest_orders(spark: SparkSession, sf_dir: str, **options) -> Gate:
+    """One accepted order per customer: the last one, by date and amount."""
+    config = replace(orders_config(), duplicate_check=["customer_id"])
+    source = dirty_orders(spark, sf_dir)
+    return plan_gate(source, config, latest_by=["order_date", "amount"], **options)
+
+
+def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _latest_orders(spark, sf_dir).accepted()
+
+
+def key_duplicate_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _latest_orders(spark, sf_dir).rejects()
+
+
+def latest_line_per_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key with few values and many rows each: the last line per status."""
+    config = replace(_LINEITEM, duplicate_check=["l_returnflag", "l_linestatus"])
+    source = table(spark, sf_dir, "lineitem")
+    gate = plan_gate(source, config, latest_by=["l_shipdate", "l_orderkey", "l_linenumber"])
+    return gate.accepted()
+
+
+def explained_reject_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with the check and the column behind every failure."""
+    return _latest_orders(spark, sf_dir, explain=True).rejects()
+
+
+def cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted values that the declared types cannot hold."""
+    source = table(spark, sf_dir, "customer").select(
+        *(F.col(c).cast("string") for c in ("c_custkey", "c_name")),
+        F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("c_acctbal"),
+    )
+    return plan_gate(source, _LOSSY).cast_losses()
+
+
 # --- typed tables --------------------------------------------------------
 
 
@@ -305,6 +386,17 @@ def typed_gate_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_gate(table(spark, sf_dir, "lineitem"), _LINEITEM).accepted()
 
 
+_CUSTOMER = _typed_config(
+    required_cols=("*",), null_check=("c_mktsegment",), no_negative_value=("c_acctbal",)
+)
+
+_LOSSY = _typed_config(
+    required_cols=("*",),
+    no_negative_value=("c_acctbal",),
+    cols_datatype={"c_custkey": "tinyint", "c_name": "int", "c_acctbal": "decimal(5,2)"},
+)
+
+
 _SUPPLIER = _typed_config(
     required_cols=("s_suppkey", "s_name", "s_acctbal"),
     null_check=("s_name",),
@@ -323,7 +415,7 @@ _EVENTS = _typed_config(
 )
 
 
-_LINES = _typed_config(required_cols=("l_linestatus",))
+_STATUSES = _typed_config(required_cols=("l_linestatus",))
 
 
 def hot_row_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,7 +429,7 @@ def hot_line_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     far more copies than one chunk holds, counted after they are dealt out."""
     units = F.sequence(F.lit(1), F.col("l_quantity").cast("int"))
     source = table(spark, sf_dir, "lineitem").select(F.explode(units), "l_linestatus")
-    ledger = plan_gate(source.select("l_linestatus"), _LINES).rejects()
+    ledger = plan_gate(source.select("l_linestatus"), _STATUSES).rejects()
     return ledger.groupBy("l_linestatus", "reject_reason").agg(F.count("*").alias("rows"))
 
 
@@ -394,6 +486,29 @@ _LINEITEM_OK = (
 _CENTS = "CAST(l_extendedprice AS decimal(12,2))"
 _WHOLE = f"CAST(trunc({_CENTS}) AS bigint)"
 
+_KEYED = f"""{_LEDGER}, keyed AS (
+  SELECT *, row_number() OVER (PARTITION BY customer_id
+    ORDER BY TRY_CAST(order_date AS date) DESC NULLS LAST,
+      TRY_CAST(amount AS decimal(12,2)) DESC NULLS LAST,
+      {", ".join(f"{c} DESC NULLS LAST" for c in COLUMNS)}) AS place
+  FROM (SELECT * FROM d EXCEPT ALL SELECT {_ALL} FROM ledger))"""
+_EXPLAINED = "SELECT {columns}, '{reason}' AS reject_reason, {check} AS reject_check, {column} AS reject_column FROM {rows}"
+
+
+def _explained(reason: str, check: str, column: str, rows: str) -> str:
+    return _EXPLAINED.format(columns=_ALL, reason=reason, check=check, column=column, rows=rows)
+
+
+_LINES = ", ".join(f"coalesce({c}, '')" for c in COLUMNS)
+_MALFORMED = f"""m AS (
+  SELECT order_id, customer_id, status, amount, order_date,
+    CASE WHEN CAST(order_id AS bigint) % 37 <> 0 THEN priority END AS priority,
+    CASE WHEN CAST(order_id AS bigint) % 37 = 0
+         THEN concat_ws(',', {", ".join(f"coalesce({c}, '')" for c in COLUMNS[:-1])})
+         WHEN CAST(order_id AS bigint) % 43 = 0 THEN concat_ws(',', {_LINES}, 'surplus')
+    END AS malformed_line
+  FROM d), u AS (SELECT DISTINCT * FROM m)"""
+
 ORACLES: dict[str, str] = {
     "csv_scan_header": f"WITH {DIRTY_SQL} SELECT * FROM d",
     "csv_scan_headerless": f"WITH {DIRTY_SQL}, x AS (SELECT * FROM d UNION ALL SELECT "
@@ -455,6 +570,55 @@ ORACLES: dict[str, str] = {
     "gate_end_to_end": _PROJECTED,
     "gate_end_to_end_rejects": f"{_LEDGER} SELECT * FROM ledger",
     "gate_end_to_end_audit": f"{_ACCEPTED} SELECT 'orders' AS tablename, {_COUNTS}",
+    "rule_folder_tables": f"""{_ACCEPTED}, c AS (SELECT *,
+            c_mktsegment IS NULL AS a, coalesce(c_acctbal < 0, false) AS b FROM customer),
+          s AS (SELECT *, s_name IS NULL AS a, coalesce(s_acctbal < 0, false) AS b,
+            coalesce(s_nationkey < 0, false) AS e FROM supplier)
+        SELECT 'orders' AS tablename, {_COUNTS}
+        UNION ALL SELECT 'customer', count(*), CAST(sum(a::int + b::int) AS bigint),
+          count(*) FILTER (NOT a AND NOT b) FROM c
+        UNION ALL SELECT 'supplier', count(*), CAST(sum(a::int + b::int + e::int) AS bigint),
+          count(*) FILTER (NOT a AND NOT b AND NOT e) FROM s""",
+    "malformed_line_ledger": f"""WITH {DIRTY_SQL}, {_MALFORMED}
+        SELECT {_ALL}, malformed_line, 'Duplicate record' AS reject_reason
+        FROM (SELECT *, row_number() OVER (PARTITION BY {_ALL}, malformed_line) AS rn FROM m)
+        WHERE rn > 1
+        UNION ALL SELECT *, 'Malformed record' FROM u WHERE malformed_line IS NOT NULL
+        UNION ALL SELECT *, 'Null Record' FROM u WHERE customer_id IS NULL
+        UNION ALL SELECT *, 'Null Record' FROM u WHERE status IS NULL
+        UNION ALL SELECT *, 'Negative Value' FROM u WHERE TRY_CAST(amount AS double) <= -1
+        UNION ALL SELECT *, 'Incorrect Dateformat' FROM u
+          WHERE TRY_CAST(order_date AS timestamp) IS NULL""",
+    "latest_per_key": f"{_KEYED} SELECT {_CASTS}, {_AMOUNT_AND_DATE} FROM keyed WHERE place = 1",
+    "key_duplicate_ledger": f"{_KEYED} SELECT * FROM ledger UNION ALL "
+    f"SELECT {_ALL}, 'Duplicate key' FROM keyed WHERE place > 1",
+    "latest_line_per_status": f"""SELECT l_orderkey, l_linenumber, l_quantity,
+          {_CENTS} AS l_extendedprice, CAST(l_shipdate AS date) AS l_shipdate
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linestatus
+            ORDER BY CAST(l_shipdate AS date) DESC, l_orderkey DESC, l_linenumber DESC) AS place
+          FROM (SELECT DISTINCT * FROM lineitem WHERE {_LINEITEM_OK})) WHERE place = 1""",
+    "explained_reject_ledger": _KEYED
+    + " "
+    + " UNION ALL ".join(
+        _explained(*branch)
+        for branch in (
+            ("Duplicate record", "NULL", "NULL", "r WHERE rn > 1"),
+            ("Null Record", "'null_check'", "'customer_id'", "u WHERE customer_id IS NULL"),
+            ("Null Record", "'null_check'", "'status'", "u WHERE status IS NULL"),
+            ("Negative Value", "'no_negative_value'", "'amount'",
+             "u WHERE TRY_CAST(amount AS double) <= -1"),
+            ("Incorrect Dateformat", "'dateformatchecks'", "'order_date'",
+             "u WHERE TRY_CAST(order_date AS timestamp) IS NULL"),
+            ("Duplicate key", "'duplicate_check'", "'customer_id'", "keyed WHERE place > 1"),
+        )
+    ),
+    "cast_losses": """WITH c AS (SELECT DISTINCT c_custkey, c_name,
+            CAST(c_acctbal AS decimal(12,2)) AS balance FROM customer),
+          a AS (SELECT * FROM c WHERE balance > -1 OR balance IS NULL)
+        SELECT 'c_custkey' AS column_name, 'tinyint' AS "type",
+          count(*) FILTER (c_custkey > 127) AS losses FROM a
+        UNION ALL SELECT 'c_name', 'int', count(c_name) FROM a
+        UNION ALL SELECT 'c_acctbal', 'decimal(5,2)', count(*) FILTER (balance >= 1000) FROM a""",
     "faithful_reject_roundtrip": "SELECT *, 'Incorrect Dateformat' AS reject_reason "
     "FROM documents",
     "typed_negative_customers": "SELECT DISTINCT *, 'Negative Value' AS reject_reason "
@@ -513,6 +677,13 @@ QUERIES = {
         gate_end_to_end_rejects,
         gate_end_to_end_audit,
         faithful_reject_roundtrip,
+        rule_folder_tables,
+        malformed_line_ledger,
+        latest_per_key,
+        key_duplicate_ledger,
+        latest_line_per_status,
+        explained_reject_ledger,
+        cast_losses,
         typed_negative_customers,
         typed_gate_lineitem,
         typed_gate_supplier,
