@@ -64,3 +64,36 @@ def exact_groups(
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
         "text_sha256",
     )
+
+
+def distinct_rows(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: str = "smallest",
+    normalise: Callable[[Column], Column] = ascii_lower,
+    digest: Callable[[Column], Column] = F.md5,
+) -> DataFrame:
+    """One whole row of `docs` for each group of equal texts.
+
+    Groups are those of `exact_groups`. Of a group the row with the smallest
+    or largest id stays, a null id only if the group has no other; among equal
+    ids the order of the whole rows decides, so reruns agree whatever the ids.
+    One grouping does it: copies collapse before the shuffle, and the rows
+    travel once. Column names don't matter; columns must have an order.
+    """
+    if keep not in ("smallest", "largest"):
+        raise ValueError(f"keep must be 'smallest' or 'largest', not {keep!r}")
+    named = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*(column.alias(f"c{at}") for at, column in enumerate(named)))
+    place, body = F.col(f"`{id_col}`"), normalise(text_or_empty(f"`{text_col}`"))
+    best = F.max(F.struct(place.alias("id"), row.alias("row")))
+    if keep == "smallest":
+        best = F.min(F.struct(place.isNull().alias("none"), place.alias("id"), row.alias("row")))
+    kept = (
+        docs.groupBy(digest(body).alias("digest"), body.alias("body"))
+        .agg(best.alias("best"))
+        .select("best.row.*")
+    )
+    return kept.toDF(*docs.columns)

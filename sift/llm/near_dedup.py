@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sift.llm.common import slices, stage
+from sift.llm.common import ascii_lower, slices, stage
 from sift.llm.components import components
 from sift.llm.shingles import WordHashes, shingle_hashes, shingle_set, split_words
 
@@ -95,41 +94,38 @@ def joint_estimate(
     return np.take_along_axis(grid, fit.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
-def sketch_documents(docs: DataFrame, k: int, sketch: Sketch) -> DataFrame:
-    """`docs` (doc_id, text) as (doc_id, content, n_shingles, registers).
+def content(text: Column) -> Column:
+    """A 128-bit digest of the word sequence, null without words."""
+    words = F.trim(F.regexp_replace(ascii_lower(text), r"[\x20\x09-\x0D]+", " "))
+    return F.when(words != "", F.unhex(F.md5(words)))
 
-    `content` is a 128-bit digest of the word sequence, null without words.
-    """
-    schema = T.StructType(
-        [
-            docs.schema["doc_id"],
-            T.StructField("content", T.BinaryType()),
-            T.StructField("n_shingles", T.LongType()),
-            T.StructField("registers", T.BinaryType()),
-        ]
-    )
+
+def sketch_documents(docs: DataFrame, k: int, sketch: Sketch) -> DataFrame:
+    """`docs` with n_shingles and registers instead of their `text`; the
+    registers are null where `content` is."""
+    names = [c for c in docs.columns if c != "text"]
+    added = T.StructType.fromDDL("n_shingles bigint, registers binary")
+    schema = T.StructType([*(docs.schema[c] for c in names), *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            contents, counts, registers = [], [], []
-            for text in batch.column("text"):
-                words = split_words(text.as_py())
+            counts, registers = [], []
+            for text, known in zip(batch.column("text"), batch.column("content"), strict=True):
+                words = split_words(text.as_py()) if known.is_valid else []
                 found = np.unique(shingle_hashes(hashes.of(words), k))
                 counts.append(len(found))
-                contents.append(hashlib.md5(b" ".join(words)).digest() if words else None)
                 registers.append(sketch.registers(found).tobytes() if words else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    pa.array(contents, pa.binary()),
+                    *(batch.column(c) for c in names),
                     pa.array(counts, pa.int64()),
                     pa.array(registers, pa.binary()),
                 ],
                 names=schema.names,
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.select(*names, "text").mapInArrow(run, schema)
 
 
 def band_rows(sketched: DataFrame, sketch: Sketch) -> DataFrame:
@@ -258,23 +254,18 @@ def rare_prefixes(texts: DataFrame, counts: DataFrame, k: int, percent: int) ->
     )
 
 
-def near_groups(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    k: int = 5,
-    percent: int = 80,
-    sketch: Sketch = Sketch(),
-) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+def near_classes(
+    docs: DataFrame, k: int, percent: int, sketch: Sketch, *, by_id: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of `docs` (text, content, and others) without their texts, with
+    n_shingles; and (content, first, component) for every content.
 
-    Documents are linked if their sets of k-word shingles have a Jaccard
-    similarity of at least `percent` hundredths; component_id is the smallest
-    id reachable by links.
+    A content is one node of the graph, whatever the ids of the texts that
+    have it; `first` is the smallest id among these. `by_id` leaves out rows
+    without an id and links all contents that have an id in common.
 
-    1. Texts with the same words are one class, led by its smallest id.
-    2. Leaders that agree in a band of registers are candidates. Each bucket
+    1. Texts with the same words are one class.
+    2. Classes that agree in a band of registers are candidates. Each bucket
        first compares all its members with its most central one, which takes
        linear work and joins what belongs together in most buckets.
     3. Where a bucket still holds several components, its members outside the
@@ -286,27 +277,31 @@ def near_groups(
 
     Candidates are dropped if the likelihood estimate is six deviations too
     low; the rest is confirmed on the sets of the whole texts.
-
-    A document without words has an empty set and links with nothing. With
-    fewer than k words the whole sequence is the one shingle. Null ids are
-    documents of their own that link with nothing; rows that share an id are
-    one document when links are followed. Other columns are not read.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = stage(sketch_documents(docs, k, sketch), "sketches")
-    usable = rows.filter("content is not null and doc_id is not null")
-    leaders = stage(usable.groupBy("content").agg(F.min("doc_id").alias("leader")), "leaders")
-    sketched = stage(
-        usable.join(leaders.select(F.col("leader").alias("doc_id")), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"]),
-        "leader-sketches",
+    usable = rows.filter("content is not null")
+    if by_id:
+        usable = usable.filter("doc_id is not null")
+    classes = usable.groupBy("content").agg(
+        F.min("doc_id").alias("first"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("registers").alias("registers"),
     )
+    # the nodes are numbered once and for all as they are stored
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    sketched = classes.select(F.col("node").alias("doc_id"), "n_shingles", "registers")
 
     buckets = band_rows(sketched, sketch)
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     # rows of buckets with two or more members, and the texts of these
     shared = stage(buckets.join(stage(sizes, "bucket-sizes"), "key"), "buckets")
-    texts = stage(docs.join(shared.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    members = shared.select("doc_id").distinct()
+    wanted = classes.select("content", F.col("node").alias("doc_id")).join(members, "doc_id")
+    texts = docs.select("content", "text").join(
+        stage(wanted, "bucket-members").hint("merge"), "content"
+    )
+    # copies have the same words, so any of their texts will do
+    texts = stage(texts.groupBy("doc_id").agg(F.first("text").alias("text")), "texts")
     heads = stage(central_members(shared), "heads")
     stars = shared.join(heads, "key").filter("doc_id != head")
     first = stage(
@@ -320,18 +315,58 @@ def near_groups(
         plausible = stage(likely(pairs, sketched, sketch, percent / 100), "candidates")
         return stage(confirm(plausible, texts, k, percent), "links")
 
-    confirmed = links(first)
-    found = components(confirmed)
+    edges = links(first)
+    if by_id:
+        edges = edges.union(same_ids(usable, classes))
+    found = components(edges)
     second = across_components(shared, sketched, texts, found, first, k, percent)
     if not second.isEmpty():
-        found = components(confirmed.union(links(second)))
-
-    classes = leaders.join(found, leaders["leader"] == found["node"], "left").select(
-        "content", F.coalesce("component", "leader").alias("component")
+        found = components(edges.union(links(second)))
+    return rows.drop("registers"), stage(
+        classes.join(found, "node", "left").select(
+            "content", "first", F.coalesce("component", "node").alias("component")
+        ),
+        "components",
     )
-    classes = stage(classes, "classes")
-    component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), "doc_id")
-    return rows.join(classes, "content", "left").select(
+
+
+def same_ids(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the contents of ids that have several."""
+    of = usable.join(classes.select("content", "node"), "content").select("doc_id", "node")
+    ends = of.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("most"))
+    several = stage(ends.filter("b != most").select("doc_id", "b"), "repeated-ids")
+    return of.join(several, "doc_id").filter("node != b").select(F.col("node").alias("a"), "b")
+
+
+def near_groups(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    percent: int = 80,
+    sketch: Sketch = Sketch(),
+) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked if their sets of k-word shingles have a Jaccard
+    similarity of at least `percent` hundredths; component_id is the smallest
+    id reachable by links, as `near_classes` finds them.
+
+    A document without words has an empty set and links with nothing. With
+    fewer than k words the whole sequence is the one shingle. Null ids are
+    documents of their own that link with nothing; rows that share an id are
+    one document when links are followed, each with the links of all of its
+    texts. Other columns are not read.
+    """
+    text = F.col(text_col).cast("string")
+    docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    docs = docs.withColumn("content", content(F.col("text")))
+    rows, classes = near_classes(docs, k, percent, sketch, by_id=True)
+    least = stage(classes.groupBy("component").agg(F.min("first").alias("least")), "least-ids")
+    of = stage(classes.join(least, "component").select("content", "least"), "class-ids")
+    component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("least")), "doc_id")
+    return rows.join(of, "content", "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
@@ -339,6 +374,48 @@ def near_groups(
     )
 
 
+def distant_rows(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    percent: int = 80,
+    sketch: Sketch = Sketch(),
+) -> DataFrame:
+    """One whole row of `docs` for each group of near duplicates.
+
+    Groups are those of `near_groups`, but of rows, whatever their ids. The
+    row with the smallest id stays, a null id only if the group has no other;
+    then a digest of the whole row decides. Rows without words all stay. The
+    choice is made on narrow rows; the rows themselves travel once, by that
+    digest, and repeated ones collapse before.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*(column.alias(f"c{at}") for at, column in enumerate(columns)))
+    words = content(F.col(f"`{text_col}`").cast("string"))
+    keyed = docs.select(
+        F.unhex(F.md5(F.to_json(row, {"ignoreNullFields": "false"}))).alias("digest"),
+        words.alias("content"),
+        F.col(f"`{id_col}`").alias("doc_id"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+        row.alias("row"),
+    )
+    rows, classes = near_classes(keyed.drop("row"), k, percent, sketch, by_id=False)
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best")
+    stays = (
+        rows.filter("content is not null")
+        .join(classes.select("content", "component"), "content")
+        .groupBy("component")
+        .agg(best)
+        .select("best.digest")
+    )
+    single = keyed.filter("content is not null").groupBy("digest").agg(F.first("row").alias("row"))
+    kept = single.join(stage(stays, "near-stays").hint("merge"), "digest", "left_semi").select("row")
+    wordless = keyed.filter("content is null").select("row")
+    return kept.union(wordless).select("row.*").toDF(*docs.columns)
+
+
 def across_components(
     shared: DataFrame,
     sketched: DataFrame,

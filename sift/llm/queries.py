@@ -204,12 +204,69 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"), share != 2)
 
 
-@query()
+@query(
+    f"""
+    with recursive split as (
+        select doc_id, regexp_extract_all({LOWERED}, '{BLANKS}') as w from documents
+    ), sets as (
+        select doc_id, list_distinct(case when len(w) = 0 then []::varchar[]
+                   when len(w) < 4 then [array_to_string(w, ' ')]
+                   else list_transform(range(1, len(w) - 2),
+                                       lambda i: array_to_string(w[i:i + 3], ' ')) end) as shingles
+        from split
+    ), shingles as (
+        select doc_id, len(shingles) as n, unnest(shingles) as shingle from sets
+    ), links as (
+        select a.doc_id as a, b.doc_id as b
+        from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n
+        having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ), edges as (
+        select a, b from links union all select b, a from links
+    ), reached as (
+        select a as doc_id, a as other from edges
+        union
+        select r.doc_id, e.b from reached r join edges e on e.a = r.other
+    ), components as (
+        select doc_id, min(other) as component_id from reached group by doc_id
+    )
+    select doc_id, len(shingles)::bigint as n_shingles,
+           coalesce(component_id, doc_id) as component_id,
+           coalesce(component_id, doc_id) = doc_id as kept
+    from sets left join components using (doc_id)
+    """
+)
 def op5_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), k=4)
 
 
-@query()
+@query(
+    """
+    with recursive usable as (
+        select vec_id, embedding::double[] as v from embeddings
+        where embedding is not null
+          and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+          and len(list_filter(embedding, lambda c: c <> 0)) > 0
+    ), units as (
+        select vec_id, list_transform(v, lambda c: c / sqrt(list_sum(list_transform(v, lambda d: d * d)))) as u
+        from usable
+    ), links as (
+        select a.vec_id as a, b.vec_id as b from units a join units b
+          on a.vec_id <> b.vec_id and len(a.u) = len(b.u) and list_inner_product(a.u, b.u) >= 0.9
+    ), reached as (
+        select a as vec_id, a as other from links
+        union
+        select r.vec_id, l.b from reached r join links l on l.a = r.other
+    ), counts as (
+        select a as vec_id, count(*) as n_links from links group by a
+    ), components as (
+        select vec_id, min(other) as component_id from reached group by vec_id
+    )
+    select vec_id, coalesce(n_links, 0) as n_links, coalesce(component_id, vec_id) as component_id,
+           coalesce(component_id, vec_id) = vec_id as kept
+    from embeddings left join counts using (vec_id) left join components using (vec_id)
+    """
+)
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
 

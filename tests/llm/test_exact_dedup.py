@@ -4,7 +4,7 @@ import pytest
 from helpers import by_id, table, with_clashes
 from pyspark.sql import functions as F
 
-from sift.llm.exact_dedup import exact_groups
+from sift.llm.exact_dedup import distinct_rows, exact_groups
 
 ROWS = [(1, "Aa"), (2, "aA"), (3, None), (4, ""), (5, "É"), (6, "é"), (9, "aa"), (7, "b"), (8, "x" * 200_000)]
 
@@ -40,3 +40,17 @@ def test_empty_table_and_bad_choice(spark):
     assert exact_groups(table(spark, [])).collect() == []
     with pytest.raises(ValueError):
         exact_groups(table(spark, []), keep="any")
+
+
+def test_one_row_of_each_text(spark):
+    rows = [(7, "b", 1), (7, "c", 1), (9, "B", 2), (3, "d", 1), (3, "d", 1), (3, "d", 0), (None, "e", 1), (None, "e", 1)]
+    rows += [(None, "F", 3), (2, "f", 1), (4, None, 1), (6, "", 1)]
+    docs = table(spark, rows, "doc_id bigint, text string, `body` int").repartition(3)
+    key = lambda r: tuple(map(str, r))
+    largest = sorted((tuple(r) for r in distinct_rows(docs, keep="largest").collect()), key=key)
+    assert largest == sorted([(7, "c", 1), (9, "B", 2), (3, "d", 1), (None, "e", 1), (2, "f", 1), (6, "", 1)], key=key)
+    smallest = sorted((tuple(r) for r in distinct_rows(docs).collect()), key=key)
+    assert smallest == sorted([(7, "b", 1), (7, "c", 1), (3, "d", 0), (None, "e", 1), (2, "f", 1), (4, None, 1)], key=key)
+    # a digest that tells nothing apart: the bytes still do
+    assert distinct_rows(docs, digest=lambda body: F.lit("same")).count() == 6
+    assert distinct_rows(docs).columns == docs.columns and distinct_rows(docs.limit(0)).collect() == []

@@ -1,12 +1,14 @@
+import hashlib
 import random
 from itertools import combinations
 
 import numpy as np
 import pytest
 from helpers import by_id, components_of, table, with_clashes
+from pyspark.sql import functions as F
 
 from sift.llm.components import components
-from sift.llm.near_dedup import Sketch, joint_estimate, near_groups
+from sift.llm.near_dedup import Sketch, content, distant_rows, joint_estimate, near_groups
 from sift.llm.shingles import WordHashes, shingle_hashes, shingle_set, split_words
 
 
@@ -105,3 +107,36 @@ def test_components(spark):
     got = components(table(spark, links, "a bigint, b bigint"))
     assert {r.node: r.component for r in got.collect()} == want
     assert components(table(spark, [], "a bigint, b bigint")).collect() == []
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    p, q = ([f"{x}{i}" for i in range(60)] for x in "pq")
+    near = lambda words, n: " ".join([*words, f"more{n}"])
+    rows = [(5, " ".join(p)), (5, " ".join(q)), (2, near(p, 1)), (3, near(q, 2)), (9, "alone here")]
+    for parts in (1, 7):
+        got = near_groups(table(spark, rows).repartition(parts), k=4).collect()
+        found = sorted((r.doc_id, r.component_id, r.kept) for r in got)
+        assert found == [(2, 2, True), (3, 2, False), (5, 2, False), (5, 2, False), (9, 9, True)]
+
+
+def test_content_is_that_of_the_words(spark):
+    texts = ["A\tb  c\n", "a b c", " a b c ", "\u00a0a b", "", None, "\x0b\x0c", "É É"]
+    found = [r[0] for r in table(spark, enumerate(texts)).select(content(F.col("text"))).collect()]
+    want = [hashlib.md5(b" ".join(w)).digest() if (w := split_words(t)) else None for t in texts]
+    assert [f and bytes(f) for f in found] == want
+
+
+def test_one_row_of_each_group(spark):
+    p = [f"p{i}" for i in range(60)]
+    a, b, c = " ".join(p), " ".join([*p, "more"]), " ".join(["less", *p]).upper()
+    rows = [(5, a, 1.0), (4, b, 2.0), (4, b, 1.0), (4, b, 1.0), (None, c, 0.0), (7, "other words", None)]
+    rows += [(7, "other words", None), (8, "", 1.0), (8, None, 1.0), (8, "", 1.0)]
+    docs = table(spark, rows, "doc_id bigint, text string, `c0` double").withColumn("row", F.lit("mine"))
+    for parts in (1, 4):
+        got = distant_rows(docs.repartition(parts), k=4)
+        assert got.columns == docs.columns
+        kept = sorted(((r.doc_id, r.text, r.c0) for r in got.collect()), key=str)
+        rest = [(7, "other words", None), (8, "", 1.0), (8, "", 1.0), (8, None, 1.0)]
+        assert [k for k in kept if k[0] != 4] == sorted(rest, key=str)
+        assert len(kept) == 5
+    assert distant_rows(docs.limit(0)).collect() == []
