@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sift.llm import bpe, exact_dedup, mixing, near_dedup, quality
@@ -18,8 +18,6 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 # Words in a shingle of the near-duplicate stage.
 SHINGLE = 5
-# The column that tells rows apart inside the dedup stages.
-ROW = "pipeline_row"
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,42 +26,15 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.filter("accepted").select(*docs.columns)
 
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    """`docs` as stored, with a number of its own for each row: ids may be null
-    or repeated."""
-    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
-
-
-def one_of_each(docs: DataFrame, groups: DataFrame, best: Column) -> DataFrame:
-    """The rows of `docs` (from `with_rows`) but for all except one of each group.
-
-    `groups` has a row number and a group for every row; `best` is an aggregate
-    over doc_id and the number that ends with the number. Joins by row number
-    only, so a large group is no hot key, and the texts with the numbers that
-    go, which are the fewer.
-    """
-    members = stage(docs.select(ROW, "doc_id").join(groups, ROW), "pipeline-members")
-    stays = members.groupBy("group").agg(best.alias("best")).select(F.col(f"best.{ROW}"))
-    gone = members.select(ROW).join(stays, ROW, "left_anti")
-    return docs.join(gone, ROW, "left_anti").drop(ROW)
-
-
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one row, with the largest id; a null id is the smallest."""
-    rows = with_rows(docs)
-    found = exact_dedup.exact_groups(rows, id_col=ROW)
-    groups = found.select(F.col("doc_id").alias(ROW), F.col("keep_id").alias("group"))
-    return one_of_each(rows, groups, F.max(F.struct("doc_id", ROW)))
+    return exact_dedup.distinct_rows(docs, keep="largest")
 
 
 def distant_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row, with the smallest id; a null id
     is the largest."""
-    rows = with_rows(docs)
-    found = near_dedup.near_groups(rows, id_col=ROW, k=SHINGLE)
-    groups = found.select(F.col("doc_id").alias(ROW), F.col("component_id").alias("group"))
-    no_id = F.col("doc_id").isNull().alias("no_id")
-    return one_of_each(rows, groups, F.min(F.struct(no_id, "doc_id", ROW)))
+    return near_dedup.distant_rows(docs, k=SHINGLE)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
