@@ -75,10 +75,12 @@ def render(messages: DataFrame, *, learn: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, n_turns, formatted, loss_spans.
 
     A turn reads `<|start|>role\\ntext<|end|>\\n` with role and text escaped.
-    `loss_spans` holds start and length, in code points from 0, of the texts
-    of role `learn`. Positions come from a running sum, so a conversation of n
-    turns costs n steps. A conversation is one value and so is gathered in one
-    place; that is what formatting it means. Null role or text counts as empty.
+    `loss_spans` has an entry for each turn, null but for those of role
+    `learn`: where its escaped text starts in `formatted` and in its turn, in
+    code points from 0, and its length. Positions come from a running sum, so
+    a conversation of n turns costs n steps (and a sort). A conversation is one
+    value and so is gathered in one place; that is what formatting it means.
+    Null role or text counts as empty.
     """
     role = escape(F.coalesce("role", F.lit("")), ROLE_ESCAPES)
     body = escape(F.coalesce("text", F.lit("")))
@@ -99,12 +101,12 @@ def render(messages: DataFrame, *, learn: str = "assistant") -> DataFrame:
     number = Window.partitionBy("conv_id").orderBy("turn", "piece")
     start = F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0)) + F.col("lead")
     placed = pieces.withColumn("start", start).withColumn("number", F.row_number().over(number))
-    span = F.when(F.col("learnt"), F.struct("start", "length"))
-    in_order = F.array_sort(F.collect_list(F.struct("number", "piece")))
+    span = F.when(F.col("learnt"), F.struct("start", "lead", "length")).alias("span")
+    in_order = F.array_sort(F.collect_list(F.struct("number", "piece", span)))
     return placed.groupBy("conv_id").agg(
         F.count("*").alias("n_turns"),
         F.array_join(F.transform(in_order, lambda p: p["piece"]), "").alias("formatted"),
-        F.array_sort(F.collect_list(span)).alias("loss_spans"),
+        F.transform(in_order, lambda p: p["span"]).alias("loss_spans"),
     )
 
 
@@ -126,11 +128,17 @@ def parse(formatted: Column) -> Column:
 
 
 def masked(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    parts = F.transform(
+    """All text under the loss mask, unescaped, in order.
+
+    The text is cut at the ends of turns once, and each span from its own
+    turn, so many turns cost no more each than few.
+    """
+    parts = F.zip_with(
+        F.split(formatted, r"<\|end\|>\n"),
         spans,
-        lambda s: unescape(
-            F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))
+        lambda turn, s: F.when(
+            s.isNotNull(),
+            unescape(F.substr(turn, (s["lead"] + 1).cast("int"), s["length"].cast("int"))),
         ),
     )
     return F.array_join(parts, "")

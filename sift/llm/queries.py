@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -81,7 +81,13 @@ def op6_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations and number -7 as an event log, one message per row."""
+    """The conversations and number -7 as the log of a chat that was streamed.
+
+    Every turn comes as a message with the first half of its text and a delta
+    with the rest. Each third turn is a draft first, which an edit replaces,
+    and after each fourth one a next turn is begun that a regeneration takes
+    back. What the log folds to are the conversations.
+    """
     probe = "</s>[INST] ok [/INST]"
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"))
@@ -89,16 +95,31 @@ def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.unionByName(added.withColumns({"role": role, "text": F.lit(probe)}))
     # rows of the same turn stay messages of their own
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    number = F.row_number().over(order).cast("bigint")
-    rows = rows.withColumn("number", number)
-    return rows.select(
-        "conv_id",
-        F.col("number").alias("seq"),
-        F.lit("message").alias("event"),
-        F.col("number").alias("turn"),
-        "role",
-        "text",
+    rows = rows.withColumn("number", F.row_number().over(order).cast("bigint"))
+    half = (F.length("text") / 2).cast("int")
+    begin, rest = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+    third, fourth = (F.col("number") % n == 0 for n in (3, 4))
+
+    def event(at: int, kind: str, text: Column, *, later: int = 0, if_: Column | None = None) -> Column:
+        made = F.struct(
+            (F.col("number") * 10 + at).alias("seq"),
+            F.lit(kind).alias("event"),
+            (F.col("number") + later).alias("turn"),
+            F.when(F.lit(kind != "delta"), F.col("role")).alias("role"),
+            text.alias("text"),
+        )
+        return made if if_ is None else F.when(if_, made)
+
+    events = F.array(
+        event(0, "message", F.when(third, F.concat(F.lit("draft "), begin)).otherwise(begin)),
+        event(1, "delta", rest),
+        event(2, "edit", begin, if_=third),
+        event(3, "delta", rest, if_=third),
+        event(4, "message", F.lit("to be taken back"), later=1, if_=fourth),
+        event(5, "regenerate", begin, if_=fourth),
+        event(6, "delta", rest, if_=fourth),
     )
+    return rows.select("conv_id", F.inline(F.array_compact(events)))
 
 
 @query(

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from helpers import by_id, table, with_clashes
 from pyspark.sql import functions as F
@@ -85,3 +86,34 @@ def test_probe_conversation(spark):
     assert (row.n_turns, row.loss_chars) == (2, 21)
     assert row.turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(probe.encode()).hexdigest()
+
+
+def test_the_query_has_events_of_all_kinds(spark):
+    from helpers import SF_DIR
+
+    from sift.llm.common import read_table
+    from sift.llm.queries import conversation_events
+
+    log = conversation_events(spark, SF_DIR)
+    kinds = {r.event: r["count"] for r in log.groupBy("event").count().collect()}
+    rows = read_table(spark, SF_DIR, "conversations").count() + 2
+    assert kinds["message"] > rows and kinds["delta"] > kinds["edit"] > kinds["regenerate"] > 0
+    assert replay(log).count() == rows
+    texts = replay(log).select("text").union(spark.createDataFrame([("to be taken back",)], "text string"))
+    assert texts.filter("text like 'draft %' or text = 'to be taken back'").count() == 1
+
+
+def test_many_turns_cost_no_more_each(spark):
+    def seconds(turns: int) -> float:
+        text = F.concat(F.lit("x" * 300), F.col("id").cast("string"))
+        log = spark.range(turns).select(
+            F.lit(1).cast("bigint").alias("conv_id"), F.col("id").alias("seq"), F.lit("message").alias("event"),
+            F.col("id").alias("turn"), F.lit("assistant").alias("role"), text.alias("text"),
+        )
+        learnt = format_log(log).select(masked(F.col("formatted"), F.col("loss_spans")).alias("t"))
+        begin = time.perf_counter()
+        assert learnt.select(F.length("t")).first()[0] == turns * 300 + sum(len(str(i)) for i in range(turns))
+        return time.perf_counter() - begin
+
+    seconds(500)
+    assert seconds(16_000) < 4 * seconds(4_000) * 2.5
