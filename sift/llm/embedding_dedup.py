@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
@@ -22,8 +22,12 @@ from sift.llm.components import components
 AXES_SAMPLE = 4096
 # Leading axes by whose grid cells the vectors are sorted.
 LEADING = 8
-# Vectors in a block, blocks along the side of a tile, intervals in an interval.
-BLOCK, SIDE, FAN = 256, 16, 8
+# Vectors in a block, intervals in an interval.
+BLOCK, FAN = 256, 8
+# Blocks along the side of a tile, at least and at most.
+SIDES = (8, 64)
+# Leading axes by which a pair of vectors is first bounded.
+BOUNDING = 24
 # Room for rounding: in single precision, and in distances between boxes.
 ROUNDING = 1e-4
 
@@ -105,7 +109,7 @@ def grid_blocks(classes: DataFrame, dim: int, axes: np.ndarray, epsilon: float)
                     "seq": seq,
                     "reps": piece.column("rep").to_pylist(),
                     "weights": piece.column("weight").to_pylist(),
-                    "matrix": unit.tobytes(),
+                    "matrix": piece.column("vector").flatten().to_numpy(zero_copy_only=False).tobytes(),
                     "low": turned.min(axis=0).tobytes(),
                     "high": turned.max(axis=0).tobytes(),
                 }
@@ -122,9 +126,13 @@ def grid_blocks(classes: DataFrame, dim: int, axes: np.ndarray, epsilon: float)
         .sortWithinPartitions(*cells, "first", "rep")
     )
     blocks = stage(ordered.mapInArrow(cut, block_schema), "grid")
-    number = Window.partitionBy().orderBy("part", "seq")  # one narrow row per block
-    numbers = blocks.select("part", "seq", (F.row_number().over(number) - 1).alias("block"))
-    return stage(blocks.join(numbers, ["part", "seq"]).drop("part", "seq"), "blocks")
+    # a block's number counts on from the tasks before, of which there are few
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
+    tasks = blocks.groupBy("part").agg(F.count("*").alias("n")).select("part", first)
+    number = (F.col("first") + F.col("seq")).cast("int").alias("block")
+    held = blocks.join(tasks, "part").select(number, "reps", "weights", "matrix", "low", "high")
+    return stage(held, "blocks")
 
 
 def block_bounds(cells: np.ndarray) -> list[tuple[int, int]]:
@@ -206,15 +214,35 @@ def merge_boxes(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy(parent).applyInPandas(merge, "at int, low binary, high binary")
 
 
-def join_tiles(blocks: DataFrame, pairs: DataFrame, least: float, dim: int) -> DataFrame:
+def tile_side(blocks: int, tasks: int) -> int:
+    """Blocks along a tile's side: as many as leave a few tiles for each task,
+    since every block travels once per tile in its row and column."""
+    tiles = ceil(sqrt(8 * tasks))
+    return min(max(ceil(blocks / tiles), SIDES[0]), SIDES[1])
+
+
+def bounded(unit: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Unit vectors by their first coordinates on `axes` and the length of the
+    rest. The product of two of these is at least the cosine: what the rests
+    add to it is at most the product of their lengths."""
+    first = unit @ axes[:, :BOUNDING]
+    rest = np.sqrt(np.maximum(0, 1 - (first * first).sum(axis=1)))
+    return np.concatenate([first, rest[:, None]], axis=1).astype(np.float32)
+
+
+def join_tiles(
+    blocks: DataFrame, pairs: DataFrame, least: float, dim: int, axes: np.ndarray, side: int
+) -> DataFrame:
     """(rep, links, near): partial counts of links, and a smaller neighbour.
 
-    Tiles of SIDE by SIDE blocks are compared in one task each, so a block
-    travels once per tile and a task holds two sides of a tile. Cosines come
-    from products in double precision. `near` names the smallest vector of
-    the tile that the vector is connected with inside the tile.
+    Tiles of `side` by `side` blocks are compared in one task each, so a block
+    travels once per tile and a task holds two sides of a tile. A pair of
+    vectors is first bounded on the leading axes; only where that leaves room
+    for a link is its cosine taken, in double precision. `near` names the
+    smallest vector of the tile that the vector is connected with inside the
+    tile. A row without a rep has the number of cosines that a tile took.
     """
-    tile = [F.floor(F.col(c) / SIDE).cast("int").alias(f"tile_{c}") for c in ("p", "q")]
+    tile = [F.floor(F.col(c) / side).cast("int").alias(f"tile_{c}") for c in ("p", "q")]
     tiled = stage(pairs.select("p", "q", *tile), "tiles")
     held_by = [F.col("tile_p").alias("of_p"), F.col("tile_q").alias("of_q")]
     wanted = tiled.select(*held_by, F.explode(F.array("p", "q")).alias("block")).distinct()
@@ -230,24 +258,24 @@ def join_tiles(blocks: DataFrame, pairs: DataFrame, least: float, dim: int) -> D
 
     def compare(held: pd.DataFrame, todo: pd.DataFrame) -> pd.DataFrame:
         held = held.sort_values("block")
-        matrices = {
-            b: np.frombuffer(m).reshape(-1, dim)
-            for b, m in zip(held["block"], held["matrix"], strict=True)
-        }
-        begin, at = {}, 0
-        for b in held["block"]:
-            begin[b], at = at, at + len(matrices[b])
+        units, bounds, begin, at = {}, {}, {}, 0
+        for b, matrix, own in zip(held["block"], held["matrix"], held["reps"], strict=True):
+            kind = np.dtype(f"f{len(matrix) // (len(own) * dim)}")
+            units[b] = unit_rows(np.frombuffer(matrix, kind).reshape(-1, dim).astype(np.float64))
+            bounds[b] = bounded(units[b], axes)
+            begin[b], at = at, at + len(own)
         reps = np.array([r for block in held["reps"] for r in block], dtype=object)
         weights = np.array([w for block in held["weights"] for w in block], dtype=np.int64)
-        single = {b: m.astype(np.float32) for b, m in matrices.items()}
         links = np.zeros(at, np.int64)
         label = np.arange(at)
-        hits = []
+        hits, taken = [], 0
         for p, q in zip(todo["p"], todo["q"], strict=True):
-            i, j = np.nonzero(single[p] @ single[q].T >= least - ROUNDING)
+            room = np.flatnonzero(bounds[p] @ bounds[q].T >= least - ROUNDING)
+            i, j = np.divmod(room, len(bounds[q]))
             if p == q:
                 i, j = i[i < j], j[i < j]
-            exact = np.einsum("ij,ij->i", matrices[p][i], matrices[q][j])
+            taken += len(i)
+            exact = np.einsum("ij,ij->i", units[p][i], units[q][j])
             i, j = i[exact >= least] + begin[p], j[exact >= least] + begin[q]
             if not len(i):
                 continue
@@ -258,8 +286,12 @@ def join_tiles(blocks: DataFrame, pairs: DataFrame, least: float, dim: int) -> D
             label = connect(np.concatenate(hits, axis=1), label, reps)
         found = np.nonzero(links)[0]
         return pd.DataFrame(
-            {"rep": reps[found], "links": links[found], "near": reps[label[found]]}
-        )
+            {
+                "rep": [*reps[found], None],
+                "links": [*links[found], taken],
+                "near": [*reps[label[found]], None],
+            }
+        ).astype({"rep": "Int64", "near": "Int64"} if isinstance(rep_type, T.IntegralType) else {})
 
     sides = payload.groupBy("of_p", "of_q").cogroup(tiled.groupBy("tile_p", "tile_q"))
     return sides.applyInPandas(compare, schema)
@@ -301,7 +333,8 @@ def near_vectors(
     Vectors with a cosine of at least `cosine` are linked; component_id is the
     smallest id reachable. For unit vectors that is a distance of at most
     epsilon = sqrt(2 - 2 * cosine), and only blocks that are provably further
-    apart are skipped, so all links are found and counted. Equal vectors are
+    apart are skipped; in the others a pair of vectors is left out only if a
+    bound on its leading axes is too low. So all links are found and counted. Equal vectors are
     compared once and counted by their number; links are counted, not
     written out.
 
@@ -323,7 +356,9 @@ def near_vectors(
     for dim in dims:
         axes = principal_axes(classes, dim)
         blocks = grid_blocks(classes, dim, axes, epsilon)
-        tiles = join_tiles(blocks, near_blocks(blocks, epsilon), cosine, dim)
+        side = tile_side(blocks.count(), vectors.sparkSession.sparkContext.defaultParallelism)
+        pairs = near_blocks(blocks, epsilon)
+        tiles = join_tiles(blocks, pairs, cosine, dim, axes, side).filter("rep is not null")
         found = tiles if found is None else found.union(tiles)
     ids = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"))
     if found is None:

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from helpers import by_id, components_of, table, with_clashes
+from pyspark.sql import functions as F
 
 from sift.llm import embedding_dedup
 from sift.llm.embedding_dedup import near_vectors
@@ -31,7 +32,7 @@ def vectors(n: int, dim: int, seed: int) -> list[tuple]:
 
 @pytest.mark.parametrize("block, side, fan, dim", [(256, 16, 8, 16), (16, 2, 2, 16), (8, 3, 4, 3)])
 def test_equals_brute_force(spark, monkeypatch, block, side, fan, dim):
-    for name, value in (("BLOCK", block), ("SIDE", side), ("FAN", fan)):
+    for name, value in (("BLOCK", block), ("SIDES", (1, side)), ("FAN", fan)):
         monkeypatch.setattr(embedding_dedup, name, value)
     rows = vectors(500, dim, block)
     data = with_clashes(table(spark, [(*r, 1) for r in rows], SCHEMA), "rep", "weight", "block", "vector")
@@ -83,3 +84,41 @@ def test_vectors_without_a_direction_link_with_nothing(spark):
 def test_repeated_rows_count_as_vectors(spark):
     got = by_id(near_vectors(table(spark, [(1, [1.0, 2.0], 0)] * 3, SCHEMA)), "vec_id")
     assert got[1].n_links == 2
+
+
+def test_few_cosines_are_taken_where_few_vectors_link(spark):
+    from helpers import SF_DIR
+
+    from sift.llm.common import read_table
+
+    rows = read_table(spark, SF_DIR, "embeddings").select(
+        F.col("vec_id").alias("rep"), F.col("embedding").alias("vector"), F.lit(1).cast("bigint").alias("weight")
+    )
+    near = F.transform("vector", lambda x: (x * 1.01 + 0.001).cast("float"))
+    rows = rows.union(rows.filter("rep < 20").select(F.col("rep") + 10_000, near, "weight"))
+    axes = embedding_dedup.principal_axes(rows, 64)
+    blocks = embedding_dedup.grid_blocks(rows, 64, axes, math.sqrt(0.2))
+    pairs = embedding_dedup.near_blocks(blocks, math.sqrt(0.2))
+    made = embedding_dedup.join_tiles(blocks, pairs, 0.9, 64, axes, 8)
+    taken = made.filter("rep is null").agg(F.sum("links")).first()[0]
+    assert 20 <= taken < 520 * 519 / 2 / 10
+
+
+def test_the_bound_is_never_below_the_cosine():
+    draw = np.random.default_rng(5)
+    unit = embedding_dedup.unit_rows(draw.normal(size=(300, 40)) ** 3)
+    axes = np.linalg.qr(draw.normal(size=(40, 40)))[0]
+    bound = embedding_dedup.bounded(unit, axes)
+    assert (bound @ bound.T >= unit @ unit.T - 1e-5).all()
+
+
+def test_tiles_are_few_enough_and_many_enough():
+    assert embedding_dedup.tile_side(3, 8) == embedding_dedup.SIDES[0]
+    assert embedding_dedup.tile_side(200, 6) == 29
+    assert embedding_dedup.tile_side(10**6, 8) == embedding_dedup.SIDES[1]
+
+
+def test_doubles_keep_their_precision(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.9, math.sqrt(1 - 0.9**2) - 1e-9]), (3, [0.9, math.sqrt(1 - 0.9**2) + 1e-7])]
+    got = by_id(near_vectors(table(spark, rows, "vec_id bigint, embedding array<double>")), "vec_id")
+    assert got[1].n_links == 1 and got[2].n_links == 2 and got[3].n_links == 1
