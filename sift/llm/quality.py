@@ -19,8 +19,8 @@ from sift.llm.common import slices, stage
 
 # Buckets of the hashed features.
 SHAPE_BUCKETS, WORD_BUCKETS = 2**12, 2**18
-# Documents of each class that a scorer is fitted on at most, those with the
-# smallest hashes of their ids; everything else here covers all documents.
+# Different texts of each class that a scorer is fitted on at most, those with
+# the smallest hashes; everything else here covers all documents.
 SAMPLE = 2000
 # A word counts towards toxicity if its share in either class differs by so
 # many standard errors.
@@ -74,6 +74,26 @@ LABELLERS: dict[str, Callable[[Profile], int]] = {
     "symbols": lambda p: band(p.symbols, (0, 0.4), (0, 0.8)),
 }
 
+# Words that insult, by language. Each list is a labeller of
+# toxicity that objects to a text with one of its words.
+INSULTS = {
+    "en": """bastard bitch clown coward creep cretin crap disgusting dumb dumbass fool freak
+        garbage idiot idiots idiotic imbecile jerk liar loser losers lunatic maggot moron morons
+        moronic parasite pathetic pig pigs psycho rat retard scum scumbag shit slut stupid trash
+        ugly vermin whore worthless wretch""",
+    "de": "abschaum arschloch blödmann dummkopf schlampe schwachkopf trottel versager",
+    "fr": "abruti connard crétin imbécile minable ordure salaud salope",
+    "es": "basura cabrón estúpido gilipollas imbécil inútil patético perdedor",
+}
+TOXIC_LABELLERS: dict[str, Callable[[set[str]], int]] = {
+    lang: lambda words, known=frozenset(listed.split()): UNSURE if known.isdisjoint(words) else BAD
+    for lang, listed in INSULTS.items()
+}
+
+# How often, of all its objections, a list objects to texts that aren't toxic
+# at most, and how often the table of labels is wrong.
+HEURISTIC_ERRORS, LABEL_ERRORS = 0.1, 0.01
+
 _LOWER = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+")
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 _DIGITS = re.compile(r"\d+")
@@ -165,19 +185,36 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> LabelModel:
+def estimate(
+    patterns: np.ndarray,
+    counts: np.ndarray,
+    rounds: int = 100,
+    *,
+    lean: float = 0.0,
+    errors: np.ndarray | None = None,
+) -> LabelModel:
     """Expectation-maximisation over vote patterns and how often each occurs.
 
-    Starts from the votes, objections counting three times. Labellers are
-    taken as independent given the class; one half is added to every count.
+    Starts from the votes, objections counting three times, and from `lean`
+    where nobody votes. Labellers are taken as independent given the class;
+    one half is added to every count. Where votes are too few to tell which
+    class is which, `errors` bounds how often each labeller votes wrongly in a
+    class, as a share of how often it votes so at all.
     """
     start = patterns.sum(axis=1) - 2.0 * (patterns == BAD).sum(axis=1)
+    start += lean * (patterns == UNSURE).all(axis=1)
     good = 1 / (1 + np.exp(-np.clip(start, -30, 30)))
     for _ in range(rounds):
         weight = np.stack([(1 - good) * counts, good * counts])
         shown = np.stack([patterns == v for v in (BAD, UNSURE, GOOD)], axis=2)
         votes = np.einsum("cp,plv->clv", weight, shown) + 0.5
         votes /= votes.sum(axis=2, keepdims=True)
+        if errors is not None:
+            said = np.einsum("p,plv->lv", counts, shown) / counts.sum()
+            for kind, wrong in ((0, GOOD + 1), (1, BAD + 1)):
+                most = np.minimum(votes[kind, :, wrong], errors * said[:, wrong] + 1e-6)
+                votes[kind, :, UNSURE + 1] += votes[kind, :, wrong] - most
+                votes[kind, :, wrong] = most
         share = (weight[1].sum() + 0.5) / (counts.sum() + 1)
         model = LabelModel(float(share), votes)
         before, good = good, model.posterior(patterns)
@@ -243,7 +280,7 @@ def logistic(weights: np.ndarray, at: np.ndarray, value: np.ndarray | float = 1.
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Both scorers' weights; no toxicity is known without labels."""
+    """Both scorers' weights; no toxicity is known if one side has no text."""
 
     shapes: np.ndarray
     words: np.ndarray | None
@@ -263,102 +300,140 @@ class QualityModel:
 
 
 def vote(docs: DataFrame) -> DataFrame:
-    """(doc_id, pattern, buckets, shares) of `docs` (doc_id, text), without the
-    texts that have no words."""
-    schema = T.StructType(
-        [
-            docs.schema["doc_id"],
-            T.StructField("pattern", T.ArrayType(T.IntegerType())),
-            T.StructField("buckets", T.ArrayType(T.IntegerType())),
-            T.StructField("shares", T.ArrayType(T.DoubleType())),
-        ]
-    )
+    """(doc_id, key, pattern, toxic, buckets, shares) of `docs` (doc_id, key,
+    text), without the texts that have no words: the votes of both sets of
+    labellers, and the features of the shapes."""
+    added = "pattern array<int>, toxic array<int>, buckets array<int>, shares array<double>"
+    names = ["doc_id", "key"]
+    schema = T.StructType([*(docs.schema[c] for c in names), *T.StructType.fromDDL(added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, patterns, buckets, shares = [], [], [], []
+            kept, columns = [], ([], [], [], [])
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py() or ""
                 if not (shapes := shapes_of(text)):
                     continue
                 seen = profile(text, shapes)
+                words = set(_LETTERS.findall(text.lower()))
                 found = shape_features(seen, shapes)
                 kept.append(i)
-                patterns.append([label(seen) for label in LABELLERS.values()])
-                buckets.append(list(found))
-                shares.append(list(found.values()))
+                for column, value in zip(
+                    columns,
+                    (
+                        [label(seen) for label in LABELLERS.values()],
+                        [label(words) for label in TOXIC_LABELLERS.values()],
+                        list(found),
+                        list(found.values()),
+                    ),
+                    strict=True,
+                ):
+                    column.append(value)
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(kept, pa.int64())),
-                    pa.array(patterns, pa.list_(pa.int32())),
-                    pa.array(buckets, pa.list_(pa.int32())),
-                    pa.array(shares, pa.list_(pa.float64())),
+                    *(batch.column(c).take(pa.array(kept, pa.int64())) for c in names),
+                    *(pa.array(c, pa.list_(k)) for c, k in zip(columns, kinds, strict=True)),
                 ],
                 names=schema.names,
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.select(*names, "text").mapInArrow(run, schema)
+
+
+def sampled(rows: DataFrame, patterns: list[list[int]]) -> DataFrame:
+    """(key) of at most SAMPLE different texts of `rows` (key, pattern) with one
+    of these vote patterns, the same ones in every run."""
+    spark = rows.sparkSession
+    wanted = spark.createDataFrame([(p,) for p in patterns], "pattern array<int>")
+    found = rows.join(F.broadcast(wanted), "pattern", "left_semi").select("key").distinct()
+    return found.orderBy(F.xxhash64("key"), "key").limit(SAMPLE)
 
 
-def first_by_hash(rows: DataFrame) -> DataFrame:
-    """At most SAMPLE rows, the same ones in every run."""
-    return rows.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE)
+def patterns_of(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The vote patterns of `rows`, in order, and how many rows have each. There
+    are at most three to the number of labellers."""
+    found = rows.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
+    return np.array([r.pattern for r in found]), np.array([r.n for r in found], dtype=float)
 
 
-def fit_quality(docs: DataFrame) -> np.ndarray:
-    """Votes of all documents, label model by EM over the vote patterns (at
-    most three to the number of labellers, counted in parallel), and the
-    scorer fitted on a bounded sample of either side."""
-    votes = stage(vote(docs), "votes")
-    counted = votes.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
-    if not counted:
+def fit_quality(votes: DataFrame) -> np.ndarray:
+    """Label model by EM over all documents' vote patterns, and the scorer
+    fitted on a bounded sample of either side."""
+    patterns, counts = patterns_of(votes)
+    if not len(patterns):
         return np.zeros(SHAPE_BUCKETS + 1)
-    patterns = np.array([r.pattern for r in counted])
-    model = estimate(patterns, np.array([r.n for r in counted], dtype=float))
-    chance = {tuple(r.pattern): float(p) for r, p in zip(counted, model.posterior(patterns), strict=True)}
+    model = estimate(patterns, counts)
+    chance = model.posterior(patterns)
+    known = {tuple(p): float(c) for p, c in zip(patterns.tolist(), chance, strict=True)}
     rows, labels = [], []
     for good in (True, False):
-        side = [list(p) for p, c in chance.items() if (c >= 0.5) == good]
+        side = patterns[(chance >= 0.5) == good].tolist()
         if not side:
             continue
-        wanted = docs.sparkSession.createDataFrame([(p,) for p in side], "pattern array<int>")
-        some = first_by_hash(votes.join(F.broadcast(wanted), "pattern", "left_semi"))
-        for r in some.collect():
+        some = votes.join(F.broadcast(sampled(votes, side)), "key").groupBy("key")
+        first = some.agg(*(F.first(c).alias(c) for c in ("pattern", "buckets", "shares")))
+        for r in first.orderBy("key").collect():
             rows.append((np.array(r.buckets), np.array(r.shares)))
-            labels.append(chance[tuple(r.pattern)])
+            labels.append(known[tuple(r.pattern)])
     return fit_linear(rows, np.array(labels), SHAPE_BUCKETS, model.good)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
-    """A scorer of words fitted on a bounded sample of labelled documents, or
-    None if one of the classes has no label."""
-    picked = None
-    share = labels.agg(F.avg(F.when(F.col("toxic") == 1, 1.0).otherwise(0.0))).first()[0] or 0.0
-    for value in (0, 1):
-        some = first_by_hash(labels.filter(F.col("toxic") == value).select("doc_id", "toxic").distinct())
-        picked = some if picked is None else picked.union(some)
-    picked = stage(picked, "labelled")  # at most twice SAMPLE rows
-    schema = "toxic int, buckets array<bigint>"
+def toxic_votes(votes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(key, pattern): the toxicity labellers' votes with that of `labels`
+    (doc_id, toxic) as one more; rows that contradict each other don't vote."""
+    if labels is None:
+        unsure = F.array(F.lit(UNSURE))
+        return votes.select("key", F.concat("toxic", unsure).alias("pattern"))
+    value = F.col("toxic").cast("int")
+    known = labels.select("doc_id", value.alias("toxic")).filter("toxic in (0, 1)")
+    said = known.groupBy("doc_id").agg(F.min("toxic").alias("least"), F.max("toxic").alias("most"))
+    speaks = F.when(F.col("least") == 1, BAD).when(F.col("most") == 0, GOOD)
+    said = stage(said.select("doc_id", speaks.alias("said")), "label-votes")
+    own = F.array(F.coalesce("said", F.lit(UNSURE)))
+    return votes.join(said, "doc_id", "left").select("key", F.concat("toxic", own).alias("pattern"))
+
+
+def fit_toxicity(docs: DataFrame, votes: DataFrame, labels: DataFrame | None) -> np.ndarray | None:
+    """Label model by EM over all documents' votes on toxicity, and a scorer of
+    words fitted on its chances, on a bounded sample of either side: texts
+    that are rather toxic, and ones that a labeller speaks for or, without
+    labels, all others. None if one side has no text."""
+    voted = stage(toxic_votes(votes, labels), "toxic-votes")
+    patterns, counts = patterns_of(voted)
+    if not len(patterns):
+        return None
+    errors = np.array([HEURISTIC_ERRORS] * len(TOXIC_LABELLERS) + [LABEL_ERRORS])
+    model = estimate(patterns, counts, lean=3.0, errors=errors)
+    chance = 1 - model.posterior(patterns)
+    toxic, vouched = chance >= 0.5, (patterns == GOOD).any(axis=1)
+    clean = ~toxic & vouched if (~toxic & vouched).any() else ~toxic
+    if not toxic.any() or not clean.any():
+        return None
+    side = {tuple(p): float(c) for p, c in zip(patterns.tolist(), chance, strict=True)}
+    picked = sampled(voted, patterns[toxic].tolist()).union(sampled(voted, patterns[clean].tolist()))
+    picked = stage(picked.distinct(), "labelled")  # at most twice SAMPLE rows
+    said = voted.join(F.broadcast(picked), "key").groupBy("key")
+    said = stage(said.agg(F.min("pattern").alias("pattern")), "sample-votes")
+    schema = "key binary, buckets array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = WordBuckets()
         for batch in batches:
             found = [buckets.of(t.as_py() or "").tolist() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(found, pa.list_(pa.int64()))],
-                names=["toxic", "buckets"],
+                [batch.column("key"), pa.array(found, pa.list_(pa.int64()))],
+                names=["key", "buckets"],
             )
 
-    joined = docs.join(F.broadcast(picked.withColumn("toxic", F.col("toxic").cast("int"))), "doc_id")
-    joined = joined.select("toxic", "text").mapInArrow(run, schema)
-    rows = sorted((r.toxic, r.buckets) for r in joined.collect())
-    known = np.array([t for t, _ in rows], dtype=float)
-    if not 0 < known.sum() < len(known):
-        return None
-    found = [np.array(b, np.int64) for _, b in rows]
-    tells = telling(found, known, WORD_BUCKETS)
-    found = [b[tells[b]] for b in found]
-    return fit_linear([(b, np.ones(len(b))) for b in found], known, WORD_BUCKETS, share)
+    texts = docs.select("key", "text").join(F.broadcast(said.select("key")), "key")
+    texts = texts.groupBy("key").agg(F.first("text").alias("text"))
+    found = texts.mapInArrow(run, schema).join(said, "key").orderBy("key").collect()
+    rows = [np.array(r.buckets, np.int64) for r in found]
+    known = np.array([side[tuple(r.pattern)] for r in found])
+    tells = telling(rows, (known >= 0.5).astype(int), WORD_BUCKETS)
+    rows = [b[tells[b]] for b in rows]
+    return fit_linear([(b, np.ones(len(b))) for b in rows], known, WORD_BUCKETS, 1 - model.good)
 
 
 def assess(
@@ -370,23 +445,29 @@ def assess(
 ) -> DataFrame:
     """All rows and columns of `docs`, and quality_score, toxic_score, accepted.
 
-    Quality needs no labels: heuristic labellers vote on every document, EM
-    estimates how far each can be trusted, and a linear scorer of hashed word
-    shapes learns the resulting chances, on at most SAMPLE documents per
-    class. `labels` (doc_id, toxic), if given, teaches a second scorer of
-    hashed words, on at most SAMPLE per class. A document is accepted from
-    quality GOOD_ENOUGH on and below toxicity TOO_TOXIC.
+    Heuristic labellers vote on every document, EM estimates how far each can
+    be trusted, and a linear scorer learns the resulting chances, on at most
+    SAMPLE different texts per class: of hashed word shapes for quality, of
+    hashed words for toxicity. Neither needs labels. `labels` (doc_id, toxic),
+    if given, is one more labeller of toxicity, and what the others can't see,
+    like insults in a language that they don't know, the scorer learns from
+    it. A document is accepted from quality GOOD_ENOUGH on and below toxicity
+    TOO_TOXIC.
 
     A text that is null or has no words has quality 0 and is not accepted.
-    Repeated rows are scored alike; a null id is only left out of the fitting
-    of toxicity. The three names must not be columns of `docs`.
+    Repeated rows are scored alike; a null id has no label. Labels that are
+    neither 0 nor 1, or that contradict each other, say nothing. The three
+    names must not be columns of `docs`.
     """
     added = ("quality_score", "toxic_score", "accepted")
     if taken := sorted(set(added) & set(docs.columns)):
         raise ValueError(f"the table has columns {taken} already")
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    words = None if labels is None else fit_toxicity(plain, labels)
-    model = docs.sparkSession.sparkContext.broadcast(QualityModel(fit_quality(plain), words))
+    text = F.col(text_col)
+    key = F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("key")
+    plain = docs.select(F.col(id_col).alias("doc_id"), key, text.alias("text"))
+    votes = stage(vote(plain), "votes")
+    fitted = QualityModel(fit_quality(votes), fit_toxicity(plain, votes, labels))
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
     schema = T.StructType(
         [
             *docs.schema,
