@@ -12,20 +12,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from sift.llm.common import slices, stage
 
 # Names what has no letters to go by.
 UNDETERMINED = "und"
-# The most words, and n-grams of one length, that a language has in the
-# model. Counting covers everything; this bounds the model alone.
-VOCABULARY = 20_000
+# A word, or an n-gram, is known if it makes up at least one in SHARE of some
+# language's words, or n-grams of that length. So a language has at most SHARE
+# of each in the model, however large the corpus and wherever counts tie.
+SHARE = 2**17
 LONGEST = 4
 # Added to every count.
 SMOOTHING = 0.5
-# Counts a task holds before it hands them on; words a task remembers.
-HELD, MEMORY = 300_000, 300_000
+# Counts a task holds before it hands them on; scores of words a task remembers.
+HELD, MEMORY = 300_000, 1_200_000
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -43,10 +43,40 @@ def grams_of(word: str, n: int) -> list[str]:
 
 @dataclass(frozen=True)
 class Table:
-    """Log frequencies: a row of `values` for each name, a column for each language."""
+    """Log frequencies of names. A language that lacks a name has its `base`;
+    what a name has above that lies side by side in `langs` and `above`, from
+    starts[row] on. So the table is as large as the counts that it is made of,
+    however many languages there are."""
 
     rows: dict[str, int] = field(default_factory=dict)
-    values: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    base: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    langs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    above: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    @classmethod
+    def of(cls, names: np.ndarray, langs: np.ndarray, n: np.ndarray, totals: np.ndarray) -> Table:
+        """From counts n of names in languages, and all counts of each language."""
+        known, row = np.unique(names, return_inverse=True)
+        order = np.lexsort((langs, row))
+        starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(known)))])
+        base = np.log(SMOOTHING / (totals + SMOOTHING * (len(known) + 1)))
+        above = np.log((n[order] + SMOOTHING) / SMOOTHING)
+        rows = {name: i for i, name in enumerate(known.tolist())}
+        return cls(rows, base, starts.astype(np.int64), langs[order], above)
+
+    def add_means(self, scores: np.ndarray, at: list[int], evidence: list[list[int]]) -> None:
+        """To scores[at[i]] the mean log frequencies of the names evidence[i]."""
+        sizes = np.array([len(rows) for rows in evidence])
+        names = np.array([row for rows in evidence for row in rows])
+        held = np.diff(self.starts)[names]
+        within = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+        entry = np.repeat(self.starts[names], held) + within
+        weight = np.repeat(np.repeat(1 / sizes, sizes), held)
+        cell = np.repeat(np.repeat(np.array(at), sizes), held) * scores.shape[1] + self.langs[entry]
+        flat = np.bincount(cell, self.above[entry] * weight, scores.size)
+        scores += flat.reshape(scores.shape)
+        scores[at] += self.base
 
 
 @dataclass(frozen=True)
@@ -76,11 +106,7 @@ class LanguageModel:
             found[n].append((i, rows))
         for table, these in zip(self.tables, found, strict=False):
             if these:
-                sizes = [len(rows) for _, rows in these]
-                flat = table.values[[r for _, rows in these for r in rows]]
-                begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                means = np.add.reduceat(flat, begins, axis=0) / np.array(sizes)[:, None]
-                scores[[i for i, _ in these]] = means
+                table.add_means(scores, [i for i, _ in these], [rows for _, rows in these])
         return scores
 
 
@@ -100,7 +126,7 @@ class Scorer:
         if not languages:
             return [(UNDETERMINED, 0.0)] * len(texts)
         words = [words_of(t) if t else [] for t in texts]
-        if len(self.known) > MEMORY:
+        if len(self.known) * len(languages) > MEMORY:
             self.forget()
         new = list(set().union(*words).difference(self.known))
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
@@ -182,52 +208,46 @@ def count_grams(words: DataFrame) -> DataFrame:
     return found.groupBy("lang", "length", "gram").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, groups: list[str], name: str) -> DataFrame:
-    """The names of at most VOCABULARY rows per group, by falling count.
+def known_counts(counts: DataFrame, groups: list[str], name: str) -> DataFrame:
+    """The rows of all names that are known, by their share in some language.
 
-    Counts at which a tie would pass the bound are left out whole. The cut is
-    read off the distribution of counts, so no group is sorted.
+    Which names these are is decided on the counts where they lie, against
+    the totals of each language, a row per language and length.
     """
-    spread = counts.groupBy(*groups, "n").agg(F.count("*").alias("many"))
-    falling = Window.partitionBy(*groups).orderBy(F.col("n").desc())
-    cut = (
-        spread.withColumn("reached", F.sum("many").over(falling))
-        .filter(F.col("reached") <= VOCABULARY)
-        .groupBy(*groups)
-        .agg(F.min("n").alias("least"))
-    )
-    kept = counts.join(F.broadcast(cut), groups).filter("n >= least")
-    return kept.select(*[g for g in groups if g != "lang"], name).distinct()
+    totals = counts.groupBy(*groups).agg(F.sum("n").alias("total"))
+    same = [g for g in groups if g != "lang"]
+    known = counts.join(F.broadcast(totals), groups).filter(F.col("n") * SHARE >= F.col("total"))
+    names = stage(known.select(*same, name).distinct(), "known-names")
+    return counts.join(names, [*same, name])
 
 
 def train(docs: DataFrame) -> LanguageModel:
     """Learn from `docs` (lang, text); rows where either is null teach nothing.
 
-    What reaches the driver are the kept words and n-grams with their counts,
-    at most VOCABULARY per language and length.
+    What reaches the driver are the known words and n-grams with their counts,
+    at most SHARE per language and length.
     """
     words = stage(count_words(docs.filter("lang is not null and text is not null")), "words")
     grams = stage(count_grams(words), "grams")
-    totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    languages = sorted(totals)
-
-    def table(rows: list, totals: dict[str, int]) -> Table:
-        names = {name: i for i, name in enumerate(sorted({r[0] for r in rows}))}
-        counts = np.zeros((len(names), len(languages)))
-        for name, lang, n in rows:
-            counts[names[name], languages.index(lang)] = n
-        every = np.array([totals.get(lang, 0) for lang in languages], dtype=float)
-        return Table(names, np.log((counts + SMOOTHING) / (every + SMOOTHING * (len(names) + 1))))
-
-    kept = F.broadcast(most_frequent(words, ["lang"], "word"))
-    rows = words.join(kept, "word").select("word", "lang", "n").collect()
-    tables = [table(rows, totals)]
-    kept = F.broadcast(most_frequent(grams, ["lang", "length"], "gram"))
-    rows = grams.join(kept, ["length", "gram"]).select("gram", "lang", "n", "length").collect()
-    sums = grams.groupBy("lang", "length").agg(F.sum("n").alias("n")).collect()
+    totals = words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
+    languages = [r.lang for r in totals]
+    number = {lang: i for i, lang in enumerate(languages)}
+    every = np.zeros((LONGEST + 1, len(languages)))
+    every[0] = [r.n for r in totals]
+    for r in grams.groupBy("lang", "length").agg(F.sum("n").alias("n")).collect():
+        every[r.length, number[r.lang]] = r.n
+
+    def table(rows: pa.Table, totals: np.ndarray) -> Table:
+        langs = [number[lang] for lang in rows["lang"].to_pylist()]
+        names = np.array(rows["name"].to_pylist(), dtype=object)
+        return Table.of(names, np.array(langs, np.int32), rows["n"].to_numpy().astype(float), totals)
+
+    found = known_counts(words, ["lang"], "word")
+    tables = [table(found.select("lang", F.col("word").alias("name"), "n").toArrow(), every[0])]
+    found = stage(known_counts(grams, ["lang", "length"], "gram"), "known-grams")
     for n in range(1, LONGEST + 1):
-        of = [tuple(r)[:3] for r in rows if r.length == n]
-        tables.append(table(of, {r.lang: r.n for r in sums if r.length == n}))
+        of = found.filter(F.col("length") == n).select("lang", F.col("gram").alias("name"), "n")
+        tables.append(table(of.toArrow(), every[n]))
     return LanguageModel(languages, tables)
 
 
@@ -271,9 +291,10 @@ def identify(
     """One row per input row: doc_id, held_out, lang_pred, score.
 
     Learns from the rows for which `learnt` holds and both text and language
-    are known, and predicts every row from its whole text alone. Words of the
-    vocabulary score by their log frequency in each language, others by their
-    longest known character n-grams; the score is the softmax of the sums. A
+    are known, and predicts every row from its whole text alone. Known words,
+    at least one in SHARE of a language's, score by their log frequency in
+    each language, others by their longest known character n-grams; the score
+    is the softmax of the sums. A
     text that is null or has no letter, and any text if nothing was learnt, is
     `und` with score 0. Letters that were never seen favour no language; a tie
     goes to the first language by name.

@@ -1,10 +1,26 @@
+import functools
+import math
 import zlib
+from collections import Counter
 
 import duckdb
+import numpy as np
+import pytest
 from helpers import SF_DIR, table, with_clashes
 from pyspark.sql import functions as F
 
-from sift.llm.language import UNDETERMINED, grams_of, identify, most_frequent, train
+from sift.llm.common import read_table
+from sift.llm.language import (
+    LONGEST,
+    SMOOTHING,
+    UNDETERMINED,
+    Table,
+    grams_of,
+    identify,
+    known_counts,
+    train,
+    words_of,
+)
 from sift.llm.queries import op3_language_id
 
 SCHEMA = "doc_id bigint, text string, lang string"
@@ -59,7 +75,73 @@ def test_nothing_to_learn_from(spark):
     assert identify(table(spark, [], SCHEMA), F.lit(True)).collect() == []
 
 
-def test_the_bound_keeps_the_most_frequent(spark, monkeypatch):
-    monkeypatch.setattr("sift.llm.language.VOCABULARY", 3)
-    counts = table(spark, [("a", f"w{i}", n) for i, n in enumerate([9, 8, 5, 5, 5, 1])], "lang string, word string, n bigint")
-    assert {r.word for r in most_frequent(counts, ["lang"], "word").collect()} == {"w0", "w1"}
+def test_names_are_known_by_their_share(spark, monkeypatch):
+    monkeypatch.setattr("sift.llm.language.SHARE", 4)
+    counts = [("a", "w0", 9), ("a", "w1", 5), ("a", "w2", 5), ("a", "w3", 1), ("b", "w3", 1), ("b", "w1", 2), ("b", "w4", 9)]
+    known = known_counts(table(spark, counts, "lang string, word string, n bigint"), ["lang"], "word")
+    # ties stay together, and a name that one language knows has all its counts
+    assert sorted((r.lang, r.word, r.n) for r in known.collect()) == [
+        ("a", "w0", 9), ("a", "w1", 5), ("a", "w2", 5), ("b", "w1", 2), ("b", "w4", 9)
+    ]
+
+
+def by_hand(rows: list[tuple], learnt, share: int) -> dict:
+    """The definition, with plain counters, one word at a time."""
+    counts: list[dict] = [{} for _ in range(LONGEST + 1)]
+    for i, text, lang in rows:
+        if learnt(i) and lang is not None:
+            for word in words_of(text or ""):
+                counts[0].setdefault(lang, Counter())[word] += 1
+                for n in range(1, LONGEST + 1):
+                    counts[n].setdefault(lang, Counter()).update(grams_of(word, n))
+    langs = sorted(counts[0])
+    known, totals = [], []
+    for of in counts:
+        totals.append({lang: sum(of[lang].values()) for lang in of})
+        known.append({x for lang, c in of.items() for x, k in c.items() if k * share >= totals[-1][lang]})
+
+    def log(n: int, name: str, lang: str) -> float:
+        held = counts[n].get(lang, {}).get(name, 0)
+        return math.log((held + SMOOTHING) / (totals[n].get(lang, 0) + SMOOTHING * (len(known[n]) + 1)))
+
+    @functools.cache
+    def score(word: str) -> list[float]:
+        if word in known[0]:
+            return [log(0, word, lang) for lang in langs]
+        for n in range(LONGEST, 0, -1):
+            if found := [g for g in grams_of(word, n) if g in known[n]]:
+                return [sum(log(n, g, lang) for g in found) / len(found) for lang in langs]
+        return [0.0] * len(langs)
+
+    result = {}
+    for i, text, _ in rows:
+        words = words_of(text or "")
+        if not words or not any(map(str.isalpha, text)):
+            result[i] = (UNDETERMINED, 0.0)
+            continue
+        total = [sum(column) for column in zip(*map(score, words), strict=True)]
+        best = max(total)
+        result[i] = (langs[total.index(best)], 1 / sum(math.exp(t - best) for t in total))
+    return result
+
+
+@pytest.mark.parametrize("share", [2**17, 300])
+def test_equals_the_definition_on_every_row(spark, monkeypatch, share):
+    monkeypatch.setattr("sift.llm.language.SHARE", share)
+    docs = read_table(spark, SF_DIR, "documents").select("doc_id", "text", "lang")
+    want = by_hand([tuple(r) for r in docs.collect()], lambda i: i % 4 != 2, share)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify(docs, F.col("doc_id") % 4 != 2).collect()}
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i][0] == lang and got[i][1] == pytest.approx(score, rel=1e-6), i
+
+
+def test_a_table_is_as_large_as_its_counts():
+    names = np.array(["b", "a", "b"], dtype=object)
+    made = Table.of(names, np.array([1, 0, 0], np.int32), np.array([2.0, 3.0, 1.0]), np.full(200, 10.0))
+    assert made.rows == {"a": 0, "b": 1} and made.starts.tolist() == [0, 1, 3]
+    assert made.langs.tolist() == [0, 0, 1] and len(made.above) == 3
+    scores = np.zeros((2, 200))
+    made.add_means(scores, [1], [[0, 1]])
+    both = np.log((np.array([[3, 0], [1, 2]]) + SMOOTHING) / (10 + SMOOTHING * 3)).mean(axis=0)
+    assert np.allclose(scores[1, :2], both) and not scores[0].any()
