@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sift.sources.scratch import scratch_path
+from sift.sources.scratch import drop_path, scratch_path
 
 # A word is a run without blanks; the blanks are space, tab, \n, \v, \f, \r.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -28,6 +30,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ascii_uppercase, ascii_lowercase)
 
 
+def text_key(column: str) -> Column:
+    """A 128-bit digest of a text as it is, null as empty; to find it again by."""
+    return F.unhex(F.md5(text_or_empty(column)))
+
+
 def count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD_PATTERN)).cast("bigint")
 
@@ -55,6 +62,27 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, most)
 
 
+# Paths of the tables staged since `staged_tables` was entered, if it was.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staged_tables() -> Iterator[list[str]]:
+    """Collects the paths of what is staged inside, for `drop_staged`."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield paths
+    finally:
+        _staged.reset(token)
+
+
+def drop_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for path in paths:
+        drop_path(spark, path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to shared storage and read it back.
 
@@ -64,6 +92,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     bound_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if (paths := _staged.get()) is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sift.llm.common import ascii_lower, slices, stage
+from sift.llm.common import WORD_PATTERN, slices, stage, text_key
 from sift.llm.components import components
 from sift.llm.shingles import WordHashes, shingle_hashes, shingle_set, split_words
 
 # Fixed values of the sketch: base, rate and largest register. With so small a
 # base two registers agree about as often as the sets overlap.
 BASE, RATE, LARGEST = 1.001, 20.0, 2**16 - 1
+# Types that Spark has no hash for.
+UNHASHED = (T.MapType, T.VariantType)
 # Shingles whose register values are computed at once.
 CHUNK = 2048
 
@@ -94,31 +97,30 @@ def joint_estimate(
     return np.take_along_axis(grid, fit.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
-def content(text: Column) -> Column:
-    """A 128-bit digest of the word sequence, null without words."""
-    words = F.trim(F.regexp_replace(ascii_lower(text), r"[\x20\x09-\x0D]+", " "))
-    return F.when(words != "", F.unhex(F.md5(words)))
-
-
 def sketch_documents(docs: DataFrame, k: int, sketch: Sketch) -> DataFrame:
-    """`docs` with n_shingles and registers instead of their `text`; the
-    registers are null where `content` is."""
+    """`docs` with content, n_shingles and registers instead of their `text`.
+
+    `content` is a 128-bit digest of the word sequence; without words it and
+    the registers are null.
+    """
     names = [c for c in docs.columns if c != "text"]
-    added = T.StructType.fromDDL("n_shingles bigint, registers binary")
+    added = T.StructType.fromDDL("content binary, n_shingles bigint, registers binary")
     schema = T.StructType([*(docs.schema[c] for c in names), *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            counts, registers = [], []
-            for text, known in zip(batch.column("text"), batch.column("content"), strict=True):
-                words = split_words(text.as_py()) if known.is_valid else []
+            contents, counts, registers = [], [], []
+            for text in batch.column("text"):
+                words = split_words(text.as_py())
                 found = np.unique(shingle_hashes(hashes.of(words), k))
                 counts.append(len(found))
+                contents.append(hashlib.md5(b" ".join(words)).digest() if words else None)
                 registers.append(sketch.registers(found).tobytes() if words else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in names),
+                    pa.array(contents, pa.binary()),
                     pa.array(counts, pa.int64()),
                     pa.array(registers, pa.binary()),
                 ],
@@ -257,8 +259,9 @@ def rare_prefixes(texts: DataFrame, counts: DataFrame, k: int, percent: int) ->
 def near_classes(
     docs: DataFrame, k: int, percent: int, sketch: Sketch, *, by_id: bool
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows of `docs` (text, content, and others) without their texts, with
-    n_shingles; and (content, first, component) for every content.
+    """The rows of `docs` (doc_id, key, text, and others) without their texts,
+    with content and n_shingles; and (content, first, component) for every
+    content. `key` tells texts apart.
 
     A content is one node of the graph, whatever the ids of the texts that
     have it; `first` is the smallest id among these. `by_id` leaves out rows
@@ -286,6 +289,7 @@ def near_classes(
         F.min("doc_id").alias("first"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers"),
+        F.min("key").alias("key"),  # of one of its texts, which will do for all
     )
     # the nodes are numbered once and for all as they are stored
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -296,11 +300,8 @@ def near_classes(
     # rows of buckets with two or more members, and the texts of these
     shared = stage(buckets.join(stage(sizes, "bucket-sizes"), "key"), "buckets")
     members = shared.select("doc_id").distinct()
-    wanted = classes.select("content", F.col("node").alias("doc_id")).join(members, "doc_id")
-    texts = docs.select("content", "text").join(
-        stage(wanted, "bucket-members").hint("merge"), "content"
-    )
-    # copies have the same words, so any of their texts will do
+    wanted = classes.select("key", F.col("node").alias("doc_id")).join(members, "doc_id")
+    texts = docs.select("key", "text").join(stage(wanted, "bucket-members").hint("merge"), "key")
     texts = stage(texts.groupBy("doc_id").agg(F.first("text").alias("text")), "texts")
     heads = stage(central_members(shared), "heads")
     stars = shared.join(heads, "key").filter("doc_id != head")
@@ -361,7 +362,7 @@ def near_groups(
     """
     text = F.col(text_col).cast("string")
     docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    docs = docs.withColumn("content", content(F.col("text")))
+    docs = docs.withColumn("key", text_key("text"))
     rows, classes = near_classes(docs, k, percent, sketch, by_id=True)
     least = stage(classes.groupBy("component").agg(F.min("first").alias("least")), "least-ids")
     of = stage(classes.join(least, "component").select("content", "least"), "class-ids")
@@ -387,33 +388,35 @@ def distant_rows(
 
     Groups are those of `near_groups`, but of rows, whatever their ids. The
     row with the smallest id stays, a null id only if the group has no other;
-    then a digest of the whole row decides. Rows without words all stay. The
-    choice is made on narrow rows; the rows themselves travel once, by that
-    digest, and repeated ones collapse before.
+    then digests of the text and the whole row decide. Rows without words all
+    stay. The choice is made on narrow rows; the rows themselves travel once,
+    by these digests, and repeated ones collapse before.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     row = F.struct(*(column.alias(f"c{at}") for at, column in enumerate(columns)))
-    words = content(F.col(f"`{text_col}`").cast("string"))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, UNHASHED)]
+    text = F.col(f"`{text_col}`").cast("string")
     keyed = docs.select(
-        F.unhex(F.md5(F.to_json(row, {"ignoreNullFields": "false"}))).alias("digest"),
-        words.alias("content"),
         F.col(f"`{id_col}`").alias("doc_id"),
-        F.col(f"`{text_col}`").cast("string").alias("text"),
+        text_key(f"`{text_col}`").alias("key"),
+        F.xxhash64(*hashed).alias("rest"),
+        text.alias("text"),
         row.alias("row"),
     )
     rows, classes = near_classes(keyed.drop("row"), k, percent, sketch, by_id=False)
-    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "rest")).alias("best")
     stays = (
         rows.filter("content is not null")
         .join(classes.select("content", "component"), "content")
         .groupBy("component")
         .agg(best)
-        .select("best.digest")
+        .select("best.key", "best.rest")
     )
-    single = keyed.filter("content is not null").groupBy("digest").agg(F.first("row").alias("row"))
-    kept = single.join(stage(stays, "near-stays").hint("merge"), "digest", "left_semi").select("row")
-    wordless = keyed.filter("content is null").select("row")
-    return kept.union(wordless).select("row.*").toDF(*docs.columns)
+    worded = F.coalesce(F.regexp_like("text", F.lit(WORD_PATTERN)), F.lit(False))
+    single = keyed.filter(worded).groupBy("key", "rest").agg(F.first("row").alias("row"))
+    stays = stage(stays, "near-stays").hint("merge")
+    kept = single.join(stays, ["key", "rest"], "left_semi").select("row")
+    return kept.union(keyed.filter(~worded).select("row")).select("row.*").toDF(*docs.columns)
 
 
 def across_components(

@@ -1,4 +1,3 @@
-import hashlib
 import random
 from itertools import combinations
 
@@ -8,7 +7,7 @@ from helpers import by_id, components_of, table, with_clashes
 from pyspark.sql import functions as F
 
 from sift.llm.components import components
-from sift.llm.near_dedup import Sketch, content, distant_rows, joint_estimate, near_groups
+from sift.llm.near_dedup import Sketch, distant_rows, joint_estimate, near_groups
 from sift.llm.shingles import WordHashes, shingle_hashes, shingle_set, split_words
 
 
@@ -119,13 +118,6 @@ def test_rows_that_share_an_id_are_one_document(spark):
         assert found == [(2, 2, True), (3, 2, False), (5, 2, False), (5, 2, False), (9, 9, True)]
 
 
-def test_content_is_that_of_the_words(spark):
-    texts = ["A\tb  c\n", "a b c", " a b c ", "\u00a0a b", "", None, "\x0b\x0c", "É É"]
-    found = [r[0] for r in table(spark, enumerate(texts)).select(content(F.col("text"))).collect()]
-    want = [hashlib.md5(b" ".join(w)).digest() if (w := split_words(t)) else None for t in texts]
-    assert [f and bytes(f) for f in found] == want
-
-
 def test_one_row_of_each_group(spark):
     p = [f"p{i}" for i in range(60)]
     a, b, c = " ".join(p), " ".join([*p, "more"]), " ".join(["less", *p]).upper()

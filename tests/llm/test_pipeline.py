@@ -35,8 +35,15 @@ def test_run_over_odd_rows(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     table(spark, rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
     table(spark, [], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    folder = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/scratch")
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.checkpoint.dir", folder)
     assert all(r.doc_id is None and r.round_trip for r in got)
+    left = [p.name for p in (tmp_path / "scratch" / "sift").iterdir()]
+    assert len(left) == 1 and left[0].startswith("pipeline-byte_bpe")
 
 
 def test_dedup_stages_keep_one_row_of_each_group(spark):
