@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sift.llm import bpe, exact_dedup, mixing, near_dedup, quality
-from sift.llm.common import read_table, stage
+from sift.llm.common import drop_staged, read_table, stage, staged_tables
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -71,8 +71,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each one's result stored and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over `documents`, each one's result stored and read again.
+
+    Once it is stored, what the stage staged inside and the result before it
+    are deleted; the last result stays, as the caller reads it.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for name, apply in STAGES:
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        with staged_tables() as made:
+            docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_staged(spark, [*before, *made[:-1]])
+        before = made[-1:]
     return docs
