@@ -1,4 +1,5 @@
 import re
+import uuid
 
 import corpus_pipeline
 from helpers import SF_DIR, table
@@ -30,19 +31,16 @@ def test_stages(spark):
         docs, before = out, out.count()
 
 
-def test_run_over_odd_rows(spark, tmp_path):
+def test_run_over_odd_rows(spark, tmp_path, monkeypatch):
     rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, "Yes, it is so.", None, None, 3)]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     table(spark, rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
     table(spark, [], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    folder = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/scratch")
-    try:
-        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    finally:
-        spark.conf.set("spark.checkpoint.dir", folder)
+    named = lambda spark, label: f"{tmp_path}/scratch/{label}-{uuid.uuid4().hex}"
+    monkeypatch.setattr("sift.llm.common.scratch_path", named)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert all(r.doc_id is None and r.round_trip for r in got)
-    left = [p.name for p in (tmp_path / "scratch" / "sift").iterdir()]
+    left = [p.name for p in (tmp_path / "scratch").iterdir()]
     assert len(left) == 1 and left[0].startswith("pipeline-byte_bpe")
 
 
