@@ -19,8 +19,9 @@ from sift.llm.common import slices, stage
 
 # Buckets of the hashed features.
 SHAPE_BUCKETS, WORD_BUCKETS = 2**12, 2**18
-# Different texts of each class that a scorer is fitted on at most, those with
-# the smallest hashes; everything else here covers all documents.
+# Different texts of each class (of toxicity: each vote pattern) that a scorer is
+# fitted on at most, those with the smallest hashes; everything else here covers
+# all documents.
 SAMPLE = 2000
 # A word counts towards toxicity if its share in either class differs by so
 # many standard errors.
@@ -341,13 +342,13 @@ def vote(docs: DataFrame) -> DataFrame:
     return docs.select(*names, "text").mapInArrow(run, schema)
 
 
-def sampled(rows: DataFrame, patterns: list[list[int]]) -> DataFrame:
-    """(key) of at most SAMPLE different texts of `rows` (key, pattern) with one
+def sampled(rows: DataFrame, patterns: list[list[int]], most: int = SAMPLE) -> DataFrame:
+    """(key) of at most `most` different texts of `rows` (key, pattern) with one
     of these vote patterns, the same ones in every run."""
     spark = rows.sparkSession
     wanted = spark.createDataFrame([(p,) for p in patterns], "pattern array<int>")
     found = rows.join(F.broadcast(wanted), "pattern", "left_semi").select("key").distinct()
-    return found.orderBy(F.xxhash64("key"), "key").limit(SAMPLE)
+    return found.orderBy(F.xxhash64("key"), "key").limit(most)
 
 
 def patterns_of(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -397,8 +398,9 @@ def toxic_votes(votes: DataFrame, labels: DataFrame | None) -> DataFrame:
 def fit_toxicity(docs: DataFrame, votes: DataFrame, labels: DataFrame | None) -> np.ndarray | None:
     """Label model by EM over all documents' votes on toxicity, and a scorer of
     words fitted on its chances, on a bounded sample of either side: texts
-    that are rather toxic, and ones that a labeller speaks for or, without
-    labels, all others. None if one side has no text."""
+    that are rather toxic, at most SAMPLE for each pattern of votes, and as
+    many that a labeller speaks for or, without labels, of all others. None
+    if one side has no text."""
     voted = stage(toxic_votes(votes, labels), "toxic-votes")
     patterns, counts = patterns_of(voted)
     if not len(patterns):
@@ -411,8 +413,12 @@ def fit_toxicity(docs: DataFrame, votes: DataFrame, labels: DataFrame | None) ->
     if not toxic.any() or not clean.any():
         return None
     side = {tuple(p): float(c) for p, c in zip(patterns.tolist(), chance, strict=True)}
-    picked = sampled(voted, patterns[toxic].tolist()).union(sampled(voted, patterns[clean].tolist()))
-    picked = stage(picked.distinct(), "labelled")  # at most twice SAMPLE rows
+    # each pattern by itself, so that what only a label tells is not outnumbered
+    kinds = patterns[toxic].tolist()
+    picked = sampled(voted, patterns[clean].tolist(), SAMPLE * len(kinds))
+    for pattern in kinds:
+        picked = picked.union(sampled(voted, [pattern]))
+    picked = stage(picked.distinct(), "labelled")  # at most SAMPLE rows per pattern, twice
     said = voted.join(F.broadcast(picked), "key").groupBy("key")
     said = stage(said.agg(F.min("pattern").alias("pattern")), "sample-votes")
     schema = "key binary, buckets array<bigint>"
