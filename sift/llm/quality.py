@@ -19,9 +19,9 @@ from sift.llm.common import slices, stage
 
 # Buckets of the hashed features.
 SHAPE_BUCKETS, WORD_BUCKETS = 2**12, 2**18
-# Different texts of each class (of toxicity: each vote pattern) that a scorer is
-# fitted on at most, those with the smallest hashes; everything else here covers
-# all documents.
+# Different texts of each class that a scorer is fitted on at most (for toxicity
+# half as many more toxic ones, and four times as many clean ones), those with the
+# smallest hashes; everything else here covers all documents.
 SAMPLE = 2000
 # A word counts towards toxicity if its share in either class differs by so
 # many standard errors.
@@ -398,9 +398,10 @@ def toxic_votes(votes: DataFrame, labels: DataFrame | None) -> DataFrame:
 def fit_toxicity(docs: DataFrame, votes: DataFrame, labels: DataFrame | None) -> np.ndarray | None:
     """Label model by EM over all documents' votes on toxicity, and a scorer of
     words fitted on its chances, on a bounded sample of either side: texts
-    that are rather toxic, at most SAMPLE for each pattern of votes, and as
-    many that a labeller speaks for or, without labels, of all others. None
-    if one side has no text."""
+    that are rather toxic, at most SAMPLE that no list objects to and half as
+    many others, and four times SAMPLE that a labeller speaks for or, without
+    labels, of all others, as a word must be rare there to tell. None if one
+    side has no text."""
     voted = stage(toxic_votes(votes, labels), "toxic-votes")
     patterns, counts = patterns_of(voted)
     if not len(patterns):
@@ -413,12 +414,14 @@ def fit_toxicity(docs: DataFrame, votes: DataFrame, labels: DataFrame | None) ->
     if not toxic.any() or not clean.any():
         return None
     side = {tuple(p): float(c) for p, c in zip(patterns.tolist(), chance, strict=True)}
-    # each pattern by itself, so that what only a label tells is not outnumbered
-    kinds = patterns[toxic].tolist()
-    picked = sampled(voted, patterns[clean].tolist(), SAMPLE * len(kinds))
-    for pattern in kinds:
-        picked = picked.union(sampled(voted, [pattern]))
-    picked = stage(picked.distinct(), "labelled")  # at most SAMPLE rows per pattern, twice
+    # what only the labels tell teaches words that the lists lack, and is not
+    # to be outnumbered by what the lists tell as well
+    listed = (patterns[:, :-1] == BAD).any(axis=1)
+    picked = sampled(voted, patterns[clean].tolist(), 4 * SAMPLE)
+    for of, most in ((toxic & ~listed, SAMPLE), (toxic & listed, SAMPLE // 2)):
+        if of.any():
+            picked = picked.union(sampled(voted, patterns[of].tolist(), most))
+    picked = stage(picked.distinct(), "labelled")
     said = voted.join(F.broadcast(picked), "key").groupBy("key")
     said = stage(said.agg(F.min("pattern").alias("pattern")), "sample-votes")
     schema = "key binary, buckets array<bigint>"
@@ -434,9 +437,12 @@ def fit_toxicity(docs: DataFrame, votes: DataFrame, labels: DataFrame | None) ->
 
     texts = docs.select("key", "text").join(F.broadcast(said.select("key")), "key")
     texts = texts.groupBy("key").agg(F.first("text").alias("text"))
-    found = texts.mapInArrow(run, schema).join(said, "key").orderBy("key").collect()
-    rows = [np.array(r.buckets, np.int64) for r in found]
-    known = np.array([side[tuple(r.pattern)] for r in found])
+    found = texts.mapInArrow(run, schema).join(said, "key").toArrow().sort_by("key")
+    held = found["buckets"].combine_chunks()
+    ends = np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy())])
+    flat = held.flatten().to_numpy()
+    rows = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    known = np.array([side[tuple(pattern)] for pattern in found["pattern"].to_pylist()])
     tells = telling(rows, (known >= 0.5).astype(int), WORD_BUCKETS)
     rows = [b[tells[b]] for b in rows]
     return fit_linear([(b, np.ones(len(b))) for b in rows], known, WORD_BUCKETS, 1 - model.good)
